@@ -107,11 +107,15 @@ def union_categories(parts: list[DataFrame]) -> DataFrame:
 
 def extraction_summary(categories: DataFrame, products: Parsed) -> DataFrame:
     """Counts of one extraction: categories, products, processed and failed items."""
-    good = products.good.agg(F.count("*").alias("total_products"))
-    bad = products.rejects.agg(F.count("*").alias("failed_items"))
-    return (
-        categories.agg(F.count("*").alias("total_categories"))
-        .join(F.broadcast(good)).join(F.broadcast(bad))  # one row each
-        .select("total_categories", "total_products",
-                F.col("total_products").alias("processed_items"), "failed_items")
+    kinds = union_categories([
+        categories.select(F.lit("category").alias("kind")),
+        products.good.select(F.lit("product").alias("kind")),
+        products.rejects.select(F.lit("failed").alias("kind")),
+    ])
+    found = F.count_if(F.col("kind") == "product")
+    return kinds.agg(
+        F.count_if(F.col("kind") == "category").alias("total_categories"),
+        found.alias("total_products"),
+        found.alias("processed_items"),
+        F.count_if(F.col("kind") == "failed").alias("failed_items"),
     )
