@@ -40,4 +40,8 @@ def with_views(sql: str) -> str:
                 needed.add(name)
                 pending.append(CTES[name])
     parts = [f"{name} as (\n{body}\n)" for name, body in CTES.items() if name in needed]
-    return ("with " + ",\n".join(parts) + "\n" if parts else "") + sql.strip()
+    sql = sql.strip()
+    if sql.startswith("with "):
+        parts.append(sql.removeprefix("with "))
+        return "with " + ",\n".join(parts)
+    return ("with " + ",\n".join(parts) + "\n" if parts else "") + sql

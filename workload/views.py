@@ -127,6 +127,21 @@ PRODUCTS = {
     "stock_quantity": "p_size",
 }
 
+STOCKS = {
+    "symbol": "concat(' p', cast(p_partkey as string), ' ')",
+    "name": "concat(p_name, ' ')",
+    "exchange": "case when p_partkey % 5 = 0 then null else p_brand end",
+    "sector": """case when p_partkey % 6 = 0 then null when p_partkey % 17 = 0 then ''
+        when p_name like '%gear' then 'Industrials' when p_name like '%gizmo' then 'Technology'
+        when p_name like '%plate' then 'Financial Services' when p_name like '%rod' then 'Energy'
+        when p_name like '%ring' then 'Consumer Staples' when p_name like '%bolt' then 'Utilities'
+        when p_name like '%widget' then 'Healthcare' else 'Shipping' end""",
+    "industry": "case when p_partkey % 4 = 0 then '' else p_type end",
+    "market_cap": """case when p_partkey % 11 = 0 then 'n/a' when p_partkey % 9 = 0 then null
+        else concat(cast(p_partkey % 400 as string), ',000,000,000') end""",
+    "currency": "case when p_partkey % 3 = 0 then null else 'EUR' end",
+}
+
 TICKS = {
     "symbol": "event_type",
     "price": "value",
@@ -145,6 +160,7 @@ VIEWS = {
     "history": (HISTORY, "lineitem", None),
     "jobs": (JOBS, "orders", None),
     "products": (PRODUCTS, "part", None),
+    "stocks": (STOCKS, "part", None),
     "ticks": (TICKS, "events", None),
 }
 
