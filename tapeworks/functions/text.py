@@ -46,14 +46,16 @@ def word_count(*texts: Column, rules: str = "warehouse") -> Column:
 
 
 def to_time(text: Column) -> Column:
-    """Timestamp from ISO text or from epoch seconds written as text; else NULL."""
-    text = text.cast("string")
-    return F.coalesce(
-        F.timestamp_seconds(text.try_cast("bigint")),
-        text.try_cast("timestamp"),
-    )
+    """Timestamp from ISO text or from epoch seconds written as text; else NULL.
+
+    The digits are tested first: a failing number cast costs an exception per row.
+    """
+    seconds = F.timestamp_seconds(text.try_cast("bigint"))
+    return F.when(text.rlike(r"^-?\d{1,11}$"), seconds).otherwise(text.try_cast("timestamp"))
 
 
 def to_long(text: Column) -> Column:
     """Whole number from text; "5.0E7" counts, its fraction is cut."""
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    whole = text.try_cast("bigint")
+    return F.when(text.rlike(r"^-?\d{1,18}$"), whole).otherwise(
+        text.try_cast("double").try_cast("bigint"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeworks import schemas
 from tapeworks.functions.text import blank_to_null, parse_number
-from tapeworks.operators.feeds import Parsed, _split
+from tapeworks.operators.feeds import REJECTED, Parsed, read_json, split
 
 # Product fields whose JSON name differs or has an alternative.
 PRODUCT_FIELDS = {
@@ -21,83 +21,72 @@ PRODUCT_FIELDS = {
 PRICES = ("price", "original_price")
 
 
-def _product_json() -> str:
-    """DDL of a product as the feed sends it, scalars as text."""
-    parts = {}
-    for field in schemas.struct(schemas.PRODUCT):
-        kind = field.dataType.simpleString()
-        for name in PRODUCT_FIELDS.get(field.name, [field.name]):
-            parts[name] = kind if kind.startswith(("array", "map")) else "string"
-    parts.pop("currency")
-    return "struct<" + ", ".join(f"`{n}`: {k}" for n, k in parts.items()) + ">"
+def _product_types() -> dict[str, str]:
+    """Types of the fields that the feed sends; prices come as formatted texts."""
+    return {name: "string" if field.name in PRICES else field.dataType.simpleString()
+            for field in schemas.struct(schemas.PRODUCT) if field.name != "currency"
+            for name in PRODUCT_FIELDS.get(field.name, [field.name])}
 
 
-def _raw_product(item: Column) -> dict[str, Column]:
-    raw = {}
+def _product(item: Column) -> dict[str, Column]:
+    columns = {}
     for field in schemas.struct(schemas.PRODUCT):
         names = PRODUCT_FIELDS.get(field.name, [field.name])
         kind = field.dataType.simpleString()
         if field.name == "currency":
-            raw[field.name] = F.lit("USD")
+            columns[field.name] = F.lit("USD")
         elif field.name in PRICES:
-            raw[field.name] = parse_number(item[names[0]], "$,").cast("string")
-        elif len(names) > 1:
-            raw[field.name] = F.coalesce(blank_to_null(item[names[0]]), item[names[1]])
+            columns[field.name] = parse_number(item[names[0]], "$,")
         elif kind.startswith("array"):
-            raw[field.name] = F.coalesce(item[names[0]], F.array().cast(kind))
+            columns[field.name] = F.coalesce(item[names[0]], F.array().cast(kind))
         elif kind.startswith("map"):
-            raw[field.name] = F.coalesce(item[names[0]], F.create_map().cast(kind))
+            columns[field.name] = F.coalesce(item[names[0]], F.create_map().cast(kind))
         else:
-            raw[field.name] = item[names[0]]
-    return raw
+            columns[field.name] = F.coalesce(
+                *[blank_to_null(item[n]) for n in names[:-1]], item[names[-1]])
+    return columns
+
+
+def _pages(responses: DataFrame, keep: list[str], header: tuple[str, ...] = ()) -> DataFrame:
+    return read_json(responses, keep, dict.fromkeys(header, "string"), "products", _product_types())
 
 
 def _products(pages: DataFrame, keep: list[str]) -> Parsed:
-    df = pages.select(*keep, F.explode("products").alias("item"))
-    return _split(df, _raw_product(F.col("item")), schemas.struct(schemas.PRODUCT), [], keep,
-                  F.to_json("item"))
+    df = pages.select(*keep, F.explode_outer("products").alias("item")).where("item is not null")
+    item = F.col("item")
+    return split(df, _product(item), {}, [], keep, item, F.to_json(item))
 
 
 def normalize_products(responses: DataFrame) -> Parsed:
     """Products under ``products`` of category or search responses (``value``)."""
-    pages = responses.select(F.from_json(
-        F.col("value").cast("string"), f"products array<{_product_json()}>")["products"]
-        .alias("products"))
-    return _products(pages, [])
+    return _products(_pages(responses, []), [])
 
 
 def flatten_categories(responses: DataFrame) -> tuple[DataFrame, Parsed]:
     """Header row per category response, and its products tagged with the category."""
-    header = ("category_name string, category_url string, total_products string, "
-              f"products array<{_product_json()}>")
-    pages = responses.select(
-        F.from_json(F.col("value").cast("string"), header).alias("c")).select(
-        F.col("c.category_name").alias("category_name"),
-        F.col("c.category_url").alias("category_url"),
-        F.coalesce(F.col("c.total_products").try_cast("int"), F.lit(0)).alias("product_count"),
-        F.col("c.products").alias("products"),
-    )
-    return pages.drop("products"), _products(pages, ["category_name", "category_url"])
+    pages = _pages(responses, [], ("category_name", "category_url", "total_products"))
+    headers = pages.select(
+        "category_name", "category_url",
+        F.coalesce(F.col("total_products").try_cast("int"), F.lit(0)).alias("product_count"))
+    return headers, _products(pages, ["category_name", "category_url"])
 
 
 def flatten_search(responses: DataFrame) -> tuple[DataFrame, Parsed]:
     """Header row per search response tagged with ``query``, and its products.
 
-    Without a total or a page size in the response the number of its products stands in.
+    Without a total or a page size in the response the number of its readable products stands in.
     """
-    header = ("total_results string, page string, page_size string, search_time string, "
-              f"products array<{_product_json()}>")
-    products = F.coalesce(F.size("s.products"), F.lit(0))
-    pages = responses.select(
-        "query", F.from_json(F.col("value").cast("string"), header).alias("s")).select(
+    pages = _pages(responses, ["query"], ("total_results", "page", "page_size", "search_time"))
+    readable = F.coalesce(
+        F.size(F.filter("products", lambda p: p[REJECTED].isNull())), F.lit(0))
+    page = F.coalesce(F.col("page").try_cast("int"), F.lit(1)).alias("page")
+    headers = pages.select(
         "query",
-        F.coalesce(F.col("s.total_results").try_cast("int"), products).alias("total_results"),
-        F.coalesce(F.col("s.page").try_cast("int"), F.lit(1)).alias("page"),
-        F.coalesce(F.col("s.page_size").try_cast("int"), products).alias("page_size"),
-        F.col("s.search_time").try_cast("double").alias("search_time"),
-        F.col("s.products").alias("products"),
-    )
-    return pages.drop("products"), _products(pages, ["query", "page"])
+        F.coalesce(F.col("total_results").try_cast("int"), readable).alias("total_results"),
+        page,
+        F.coalesce(F.col("page_size").try_cast("int"), readable).alias("page_size"),
+        F.col("search_time").try_cast("double").alias("search_time"))
+    return headers, _products(pages.select("query", page, "products"), ["query", "page"])
 
 
 def union_categories(parts: list[DataFrame]) -> DataFrame:

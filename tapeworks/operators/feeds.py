@@ -1,8 +1,9 @@
 """JSON to typed rows: message envelopes and provider responses.
 
-JSON values are read as text first and cast one by one. A record is rejected, not the whole
-document, when a required field is missing or a value does not fit its type; rejects keep their
-JSON and a reason.
+A record is rejected, not the whole document, when a required field is missing or a value does
+not fit its type; rejects keep their JSON and a reason. JSON is parsed straight to the wanted
+types. Only documents that do not fit are parsed once more, as text, to read what can be read
+("150.5" as a price, 5.0E7 as a volume) and to find the records that cannot.
 """
 
 from __future__ import annotations
@@ -12,12 +13,12 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType
 
 from tapeworks import schemas
 from tapeworks.functions.text import blank_to_null, parse_number, to_long, to_time
 
-TEXT_TYPES = ("array<string>", "map<string,string>", "string")
+CORRUPT, REJECTED = "_corrupt_record", "__rejected"
 
 
 class Parsed(NamedTuple):
@@ -25,47 +26,88 @@ class Parsed(NamedTuple):
     rejects: DataFrame
 
 
-def _cast(text: Column, kind: DataType) -> Column:
-    name = kind.simpleString()
-    if name in TEXT_TYPES:
-        return text
-    if name == "timestamp":
-        return to_time(text)
-    if name == "bigint":
-        return to_long(text)
-    if name == "int":
-        return to_long(text).try_cast("int")
-    return F.trim(text).try_cast(name)
+def _is_text(kind: str) -> bool:
+    return kind == "string" or kind.startswith(("array", "map"))
 
 
-def _as_text(schema: StructType) -> str:
-    """The same fields as DDL with all scalars read as text."""
-    kinds = {f.name: f.dataType.simpleString() for f in schema}
-    return ", ".join(f"`{n}` {k if k in TEXT_TYPES else 'string'}" for n, k in kinds.items())
+def _cast(text: Column, kind: str) -> Column:
+    if _is_text(kind):
+        return text
+    if kind == "bigint":
+        return to_long(F.trim(text))
+    if kind == "int":
+        return to_long(F.trim(text)).try_cast("int")
+    return F.trim(text).try_cast(kind)
 
 
 def _any(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
-def _split(df: DataFrame, raw: dict[str, Column], schema: StructType, required: list[str],
-           keep: list[str], record: Column) -> Parsed:
-    """Cast ``raw`` texts to ``schema`` and part good rows from rejects."""
-    typed = {f.name: _cast(raw[f.name], f.dataType) for f in schema}
-    unfit = _any([raw[n].isNotNull() & typed[n].isNull() for n, f in
-                  ((f.name, f) for f in schema) if f.dataType.simpleString() not in TEXT_TYPES])
-    missing = _any([typed[n].isNull() for n in required])
-    out = df.select(
-        *keep,
-        F.when(missing, "missing required field").when(unfit, "value of wrong type")
-        .alias("_reason"),
-        F.struct(*[c.alias(n) for n, c in typed.items()]).alias("_row"),
-        record.alias("_record"),
-    )
+def once(df: DataFrame, keep: list[str], columns: dict[str, Column]) -> DataFrame:
+    """``keep`` and ``columns``, each column computed a single time.
+
+    Left to itself the optimizer copies an expression into every filter and projection that uses
+    it, and JSON would be parsed once per field. It does not move anything across a generator.
+    """
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(row)))
+
+
+def _struct_ddl(types: dict[str, str]) -> str:
+    return "struct<" + ", ".join(f"`{n}`: {k}" for n, k in types.items()) + ">"
+
+
+def read_json(df: DataFrame, keep: list[str], header: dict[str, str], path: str,
+              types: dict[str, str], many: bool = True) -> DataFrame:
+    """Parse ``value``: its ``header`` texts, and as ``path`` the record(s) with typed fields.
+
+    A record of the text pass has its JSON in ``__rejected`` when a value does not fit.
+    """
+    def ddl(record: str) -> str:
+        body = f"array<{record}>" if many else record
+        return ", ".join([*[f"`{n}` {k}" for n, k in header.items()], f"`{path}` {body}"])
+
+    strict = {n: k for n, k in types.items() if not _is_text(k)}
+    texts = types | dict.fromkeys(strict, "string")
+
+    def fit(item: Column) -> Column:
+        typed = {n: _cast(item[n], k) for n, k in types.items()}
+        unfit = _any([item[n].isNotNull() & typed[n].isNull() for n in strict])
+        return F.struct(*[c.alias(n) for n, c in typed.items()],
+                        F.when(unfit, F.to_json(item)).alias(REJECTED))
+
+    fast_ddl = ddl(_struct_ddl(types | {REJECTED: "string"})) + f", {CORRUPT} string"
+    value = df.select(*keep, F.col("value").cast("string").alias("_value"))
+    fast = once(value, [*keep, "_value"], {"_fast": F.from_json("_value", fast_ddl)})
+    clean = F.col(f"_fast.{CORRUPT}").isNull()
+    both = once(fast, [*keep, "_value", "_fast"], {
+        "_text": F.when(~clean, F.from_json("_value", ddl(_struct_ddl(texts))))})
+    text = F.col(f"_text.{path}")
+    return both.select(
+        *keep, "_value",
+        *[F.when(clean, F.col(f"_fast.{n}")).otherwise(F.col(f"_text.{n}")).alias(n)
+          for n in header],
+        F.when(clean, F.col(f"_fast.{path}"))
+        .otherwise(F.transform(text, fit) if many else F.when(text.isNotNull(), fit(text)))
+        .alias(path))
+
+
+def split(df: DataFrame, columns: dict[str, Column], times: dict[str, Column], required: list[str],
+          keep: list[str], item: Column, record: Column) -> Parsed:
+    """Part good rows from rejects. ``times`` are the texts that time columns come from."""
+    cast = once(df.withColumn("_record", F.coalesce(item[REJECTED], record)), [*keep, "_record"], {
+        **{f"_{n}": c for n, c in columns.items()},
+        "_unfit": item[REJECTED].isNotNull(),
+        **{f"_text_{n}": text for n, text in times.items()}})
+    missing = _any([F.col(f"_{n}").isNull() for n in required])
+    unfit = F.coalesce(F.col("_unfit"), F.lit(False)) | _any(
+        [F.col(f"_text_{n}").isNotNull() & F.col(f"_{n}").isNull() for n in times])
+    reason = F.when(missing, "missing required field").otherwise("value of wrong type")
     return Parsed(
-        out.where("_reason is null").select(*keep, "_row.*"),
-        out.where("_reason is not null").select(
-            *keep, F.col("_record").alias("record"), F.col("_reason").alias("reason")),
+        cast.where(~(missing | unfit)).select(*keep, *[F.col(f"_{n}").alias(n) for n in columns]),
+        cast.where(missing | unfit).select(
+            *keep, F.col("_record").alias("record"), reason.alias("reason")),
     )
 
 
@@ -78,20 +120,20 @@ def parse_envelope(messages: DataFrame, kind: str) -> Parsed:
     publisher) and ``data_source`` (where the message came from).
     """
     payload = schemas.struct(schemas.PAYLOADS[kind])
-    envelope = (f"timestamp string, data_type string, data struct<{_typed_fields(payload)}>, "
-                "metadata struct<job_id: string, source: string>")
-    text = F.col("value").cast("string")
-    df = messages.select(text.alias("_value")).select(
-        "_value", F.from_json("_value", envelope).alias("m"))
+    types = {f.name: _json_type(f.dataType) for f in payload}
+    header = {"timestamp": "string", "data_type": "string",
+              "metadata": "struct<job_id: string, source: string>"}
+    df = read_json(messages, [], header, "data", types, many=False)
     df = df.withColumns({
-        "message_timestamp": to_time(F.col("m.timestamp")),
-        "data_type": F.col("m.data_type"),
-        "job_id": F.col("m.metadata.job_id"),
-        "data_source": F.col("m.metadata.source"),
+        "message_timestamp": to_time(F.col("timestamp")),
+        "job_id": F.col("metadata.job_id"),
+        "data_source": F.col("metadata.source"),
     })
-    raw = {f: F.col(f"m.data.{f}") for f in payload.fieldNames()}
+    times = {n: F.col(f"data.{n}") for n, k in zip(types, payload) if _is_time(k.dataType)}
+    columns = {n: to_time(times[n]) if n in times else F.col(f"data.{n}") for n in types}
     head, tail = ["message_timestamp", "data_type"], ["job_id", "data_source"]
-    parsed = _split(df, raw, payload, schemas.MESSAGE_KEYS[kind], head + tail, F.col("_value"))
+    parsed = split(df, columns, times, schemas.MESSAGE_KEYS[kind], head + tail,
+                   F.col("data"), F.col("_value"))
     renames = {"stock_quote": {"timestamp": "quote_timestamp", "data_source": "source"},
                "market_screener": {"data_source": "source"},
                "stock_news": {"source": "news_source"}}[kind]
@@ -99,8 +141,13 @@ def parse_envelope(messages: DataFrame, kind: str) -> Parsed:
     return Parsed(good, parsed.rejects)
 
 
-def _typed_fields(payload: StructType) -> str:
-    return ", ".join(f"`{f.name}`: string" for f in payload)
+def _is_time(kind: DataType) -> bool:
+    return kind.simpleString() == "timestamp"
+
+
+def _json_type(kind: DataType) -> str:
+    """Type to parse a JSON value to; times may be numbers or texts and are read later."""
+    return "string" if _is_time(kind) else kind.simpleString()
 
 
 def to_envelope(rows: DataFrame, data_type: str, job_id: str | Column, source: str,
@@ -190,13 +237,6 @@ NEWS_FIELDS = {
 }
 
 
-def _items(responses: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
-    """One row per element of the ``body`` array, with its position; other responses yield none."""
-    body = ", ".join(f"`{n}`: string" for n in dict.fromkeys(names))
-    parsed = F.from_json(F.col("value").cast("string"), f"body array<struct<{body}>>")
-    return responses.select(*keep, F.posexplode(parsed["body"]).alias("pos", "item"))
-
-
 def _normalize(responses: DataFrame, ddl: str, fields: dict[str, list[str]],
                required: list[str], keep: tuple[str, ...] = (),
                extra: dict[str, Column] | None = None,
@@ -204,25 +244,31 @@ def _normalize(responses: DataFrame, ddl: str, fields: dict[str, list[str]],
                numbers: tuple[str, ...] = ()) -> Parsed:
     """``extra`` columns override, ``defaults`` fill gaps, ``numbers`` may be formatted texts
     whose unreadable values become NULL instead of rejecting the record."""
-    names = [n for alternatives in fields.values() for n in alternatives]
-    df = _items(responses, names, list(keep))
     schema = schemas.struct(ddl)
-    raw: dict[str, Column] = {}
-    for field in schema.fieldNames():
-        alternatives = [F.col(f"item.`{n}`") for n in fields.get(field, [])]
-        if field in (extra or {}):
-            raw[field] = extra[field]
-        elif len(alternatives) > 1:
-            raw[field] = F.coalesce(*[blank_to_null(a) for a in alternatives[:-1]],
-                                    alternatives[-1])
+    types = {name: "string" if field.name in numbers else _json_type(field.dataType)
+             for field in schema for name in fields.get(field.name, [])}
+    pages = read_json(responses, list(keep), {}, "body", types)
+    # An inner explode would have the optimizer add a filter that copies the whole parse.
+    df = (pages.select(*keep, F.posexplode_outer("body").alias("pos", "item"))
+          .where("pos is not null"))
+    columns, times = {}, {}
+    for field in schema:
+        alternatives = [F.col(f"item.`{n}`") for n in fields.get(field.name, [])]
+        if field.name in (extra or {}):
+            column = extra[field.name]
+        elif not alternatives:
+            column = F.lit(None).cast(field.dataType)
         else:
-            raw[field] = alternatives[0] if alternatives else F.lit(None).cast("string")
-        if field in (defaults or {}):
-            raw[field] = F.coalesce(raw[field], F.lit(defaults[field]))
-        if field in numbers:
-            raw[field] = parse_number(raw[field], ",").cast("string")
-    parsed = _split(df, raw, schema, required, [], F.to_json("item"))
-    return Parsed(parsed.good.select(*schema.fieldNames()), parsed.rejects)
+            column = F.coalesce(*[blank_to_null(a) for a in alternatives[:-1]], alternatives[-1])
+            if _is_time(field.dataType):
+                times[field.name] = column
+                column = to_time(column)
+            elif field.name in numbers:
+                column = parse_number(column, ",")
+        if field.name in (defaults or {}):
+            column = F.coalesce(column, F.lit(defaults[field.name]))
+        columns[field.name] = column
+    return split(df, columns, times, required, [], F.col("item"), F.to_json("item"))
 
 
 def normalize_quotes(responses: DataFrame, name_fields: tuple[str, ...] = ("longName", "shortName"),
@@ -258,7 +304,7 @@ def normalize_screeners(responses: DataFrame) -> Parsed:
     return _normalize(responses, schemas.SCREENER, SCREENER_FIELDS, ["symbol", "screener_type"],
                       keep=("screener_type",),
                       extra={"screener_type": F.col("screener_type"),
-                             "rank": (F.col("pos") + 1).cast("string")})
+                             "rank": F.col("pos") + 1})
 
 
 def normalize_news(responses: DataFrame) -> Parsed:

@@ -1,9 +1,9 @@
 """Time-series operators per symbol.
 
-A window over a whole symbol would put the history of a hot symbol into one task. Here windows
-run over (symbol, chunk of time): each chunk first borrows the rows just before it (its halo),
-works, and gives back only its own rows. The rows borrowed per chunk are bounded by the width of
-the window, and the whole input is shuffled once.
+A window over a whole symbol puts its history into one task. That is right for symbols of normal
+size. The history of a hot symbol (more than ``rows_per_task`` rows) is cut into chunks of time
+instead: each chunk borrows the few rows just before it (its halo), works, and gives back only
+its own rows. Hot symbols are found by a count per symbol when the operator is called.
 """
 
 from __future__ import annotations
@@ -13,88 +13,124 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tapeworks.session import shared_dir
+
 CHUNK, HALO = "_chunk", "_halo"
+ROWS_PER_TASK = 5_000_000
+# Chunk lengths, from long to short.
+PERIODS = ("year", "quarter", "month", "week", "day")
+
+Compute = Callable[[WindowSpec], dict[str, Column]]
+
+
+def _period(name: str, time: str) -> Column:
+    return F.date_trunc(name, F.col(time)).cast("date")
 
 
-def chunked(df: DataFrame, keys: list[str], order: list[Column], chunk: Column, rows_before: int,
-            compute: Callable[[WindowSpec], dict[str, Column]], reverse: bool = False) -> DataFrame:
+def _longest_period(rows: DataFrame, keys: list[str], time: str, limit: int) -> str:
+    """The longest period in which no key has more than ``limit`` rows; a day at the least."""
+    days = rows.groupBy(*keys, F.to_date(time).alias("_day")).agg(F.count("*").alias("_n"))
+    periods = F.array(*[
+        F.struct(F.lit(p).alias("name"), _period(p, "_day").alias("start")) for p in PERIODS])
+    sizes = (
+        days.select(*keys, "_n", F.explode(periods).alias("_p"))
+        .groupBy(*keys, "_p").agg(F.sum("_n").alias("_n"))
+        .groupBy("_p.name").agg(F.max("_n").alias("_n")).collect()  # one row per period
+    )
+    fits = {row["name"] for row in sizes if row["_n"] <= limit}
+    return next((p for p in PERIODS if p in fits), PERIODS[-1])
+
+
+def windowed(df: DataFrame, keys: list[str], time: str, ties: tuple[str, ...], rows_before: int,
+             compute: Compute, reverse: bool = False,
+             rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Add window columns that look back ``rows_before`` rows (ahead, with ``reverse``).
 
-    ``order`` must order the rows of a key without ties, and ``chunk`` must never fall along
-    it. ``compute`` gets a window per key, in that order, and must not look farther.
+    ``time`` and ``ties`` must order the rows of a key without ties. ``compute`` gets a window
+    per key, in that order, and must not look farther.
     """
     if rows_before < 1:
         raise ValueError("rows_before must be at least 1")
-    flip = (lambda c: c.desc()) if reverse else (lambda c: c.asc())
-    back = (lambda c: c.asc()) if reverse else (lambda c: c.desc())
-    data = df.withColumn(CHUNK, chunk)
+    spark = df.sparkSession
+    order = [F.col(time), *map(F.col, ties)]
+    forth = [c.desc() if reverse else c.asc() for c in order]
+    # Written, so that its size is known to the joins below. At most rows / rows_per_task keys.
+    path = shared_dir(spark, "hot-keys")
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_task)
+    counts.select(*keys).write.parquet(path)
+    hot = spark.read.schema(counts.select(*keys).schema).parquet(path)
+    if hot.isEmpty():
+        return df.withColumns(compute(Window.partitionBy(*keys).orderBy(*forth)))
+    period = _longest_period(df.join(hot, keys, "left_semi"), keys, time, rows_per_task)
+    flagged = df.join(hot.withColumn("_hot", F.lit(True)), keys, "left")
+    data = flagged.withColumn(CHUNK, F.when(F.col("_hot"), _period(period, time))).drop("_hot")
+    added = compute(Window.partitionBy(*keys, CHUNK).orderBy(*forth))
+    return (
+        data.withColumn(HALO, F.lit(False))
+        .unionByName(_halo(data, keys, order, rows_before, reverse).withColumn(HALO, F.lit(True)))
+        .withColumns(added)
+        .where(~F.col(HALO)).select(*df.columns, *added)
+    )
 
-    # The last rows of each chunk, few per chunk; row_number <= n is applied before the shuffle.
-    tail_window = Window.partitionBy(*keys, CHUNK).orderBy(*[back(c) for c in order])
-    tails = (data.withColumn("_behind", F.row_number().over(tail_window))
-             .where(F.col("_behind") <= rows_before))
 
+def _halo(data: DataFrame, keys: list[str], order: list[Column], rows_before: int,
+          reverse: bool) -> DataFrame:
+    """Rows that a chunk borrows from the chunks before it, tagged with the borrowing chunk."""
+    back = [c.asc() if reverse else c.desc() for c in order]
+    chunks = data.where(F.col(CHUNK).isNotNull())
+    # The last rows of each chunk: row_number <= n is applied before the shuffle.
+    tail_window = Window.partitionBy(*keys, CHUNK).orderBy(*back)
+    tails = (chunks.withColumn("_behind", F.row_number().over(tail_window))
+             .where(F.col("_behind") <= rows_before))
     # Which later chunks need a tail row: those reached before rows_before rows have gone by.
-    # One row per key and chunk; a sparse key may lend a row to several chunks.
-    sizes = data.groupBy(*keys, CHUNK).agg(F.count("*").alias("_size"))
-    by_chunk = Window.partitionBy(*keys).orderBy(flip(F.col(CHUNK)))
-    ahead = F.collect_list(F.struct(F.col(CHUNK).alias("chunk"), F.col("_size").alias("size")))
-    following = sizes.withColumn(
-        "_next", ahead.over(by_chunk.rowsBetween(1, rows_before)))
+    # One row per key and chunk; a short chunk may lend to several.
+    sizes = chunks.groupBy(*keys, CHUNK).agg(F.count("*").alias("_size"))
+    chunk_order = F.col(CHUNK).desc() if reverse else F.col(CHUNK).asc()
+    by_chunk = Window.partitionBy(*keys).orderBy(chunk_order).rowsBetween(1, rows_before)
+    following = sizes.withColumn("_next", F.collect_list(
+        F.struct(F.col(CHUNK).alias("chunk"), F.col("_size").alias("size"))).over(by_chunk))
     between = F.aggregate(
-        F.slice("_next", 1, F.col("_i")), F.lit(0).cast("bigint"), lambda s, x: s + x["size"])
+        F.slice("_next", 1, F.col("_i")), F.lit(0).cast("bigint"), lambda total, c: total + c["size"])
     lent = (
         following.select(*keys, CHUNK, "_next", F.posexplode("_next").alias("_i", "_target"))
         .select(*keys, CHUNK, F.col("_target.chunk").alias("_to"), between.alias("_gap"))
         .where(F.col("_gap") < rows_before)
     )
-    halo = (
+    return (
         tails.join(lent, [*keys, CHUNK])
         .where(F.col("_behind") + F.col("_gap") <= rows_before)
-        .withColumn(CHUNK, F.col("_to"))
-        .select(*df.columns, CHUNK, F.lit(True).alias(HALO))
+        .withColumn(CHUNK, F.col("_to")).select(*data.columns)
     )
-    window = Window.partitionBy(*keys, CHUNK).orderBy(*[flip(c) for c in order])
-    return (
-        data.withColumn(HALO, F.lit(False)).unionByName(halo)
-        .withColumns(compute(window))
-        .where(~F.col(HALO)).drop(CHUNK, HALO)
-    )
-
-
-def month_of(column: str) -> Column:
-    return F.date_trunc("month", F.col(column).cast("date")).cast("date")
 
 
 def rolling_avg(df: DataFrame, n: int, value: str = "close", time: str = "date",
                 keys: tuple[str, ...] = ("symbol",), ties: tuple[str, ...] = (),
-                chunk: Column | None = None) -> DataFrame:
+                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Average of the last ``n`` rows per symbol, this one included."""
     if n < 2:
         return df.withColumn(f"rolling_avg_{n}", F.col(value).cast("double"))
-    return chunked(
-        df, list(keys), [F.col(time), *map(F.col, ties)],
-        month_of(time) if chunk is None else chunk, n - 1,
-        lambda w: {f"rolling_avg_{n}": F.avg(value).over(w.rowsBetween(1 - n, 0))})
+    return windowed(
+        df, list(keys), time, ties, n - 1,
+        lambda w: {f"rolling_avg_{n}": F.avg(value).over(w.rowsBetween(1 - n, 0))},
+        rows_per_task=rows_per_task)
 
 
 def daily_return(df: DataFrame, value: str = "close", time: str = "date",
                  keys: tuple[str, ...] = ("symbol",), ties: tuple[str, ...] = (),
-                 chunk: Column | None = None) -> DataFrame:
+                 rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Change against the previous row of the symbol, as a fraction; NULL for the first row."""
-    return chunked(
-        df, list(keys), [F.col(time), *map(F.col, ties)],
-        month_of(time) if chunk is None else chunk, 1,
-        lambda w: {"daily_return": F.try_divide(F.col(value), F.lag(value).over(w)) - 1})
+    return windowed(
+        df, list(keys), time, ties, 1,
+        lambda w: {"daily_return": F.try_divide(F.col(value), F.lag(value).over(w)) - 1},
+        rows_per_task=rows_per_task)
 
 
 def scd2(df: DataFrame, key: str, updated_at: str, ties: tuple[str, ...] = (),
-         chunk: Column | None = None) -> DataFrame:
+         rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Validity intervals of versions: from ``updated_at`` to that of the next version."""
-    out = chunked(
-        df, [key], [F.col(updated_at), *map(F.col, ties)],
-        month_of(updated_at) if chunk is None else chunk, 1,
-        lambda w: {"valid_to": F.lag(updated_at).over(w)}, reverse=True)
+    out = windowed(
+        df, [key], updated_at, ties, 1, lambda w: {"valid_to": F.lag(updated_at).over(w)},
+        reverse=True, rows_per_task=rows_per_task)
     return out.withColumns({
         "valid_from": F.col(updated_at), "is_current": F.col("valid_to").isNull()})
 

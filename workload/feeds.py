@@ -9,7 +9,7 @@ from tapeworks.operators import catalogue, feeds
 from tapeworks.plans.catalogue import extract
 from tapeworks.session import shared_dir
 from workload.registry import query
-from workload.views import table, view
+from workload.views import spread, table, view
 
 
 def responses(df: DataFrame, item: Column, *tags: str, under: str = "body") -> DataFrame:
@@ -38,13 +38,12 @@ where coalesce(volume, 0) % 13 <> 6 and cast(substr(job_id, 5) as bigint) % 17 <
 
 
 def quote_responses(spark, sf_dir):
-    df = view(spark, sf_dir, "quotes")
+    df = spread(view(spark, sf_dir, "quotes"), "quote_timestamp")
     item = F.struct(
         F.expr("case when cast(substr(job_id, 5) as bigint) % 17 <> 0 then symbol end").alias("symbol"),
         F.expr("case when volume % 3 = 0 then '' else name end").alias("longName"),
         F.concat("symbol", F.lit(" short")).alias("shortName"),
-        F.expr("case when coalesce(volume, 0) % 13 = 6 then 'no price' "
-               "else cast(price as string) end").alias("regularMarketPrice"),
+        F.expr("case when coalesce(volume, 0) % 13 <> 6 then price end").alias("regularMarketPrice"),
         F.col("previous_close").alias("regularMarketPreviousClose"),
         F.col("volume").alias("regularMarketVolume"),
         F.col("market_cap").alias("marketCap"),
@@ -53,7 +52,11 @@ def quote_responses(spark, sf_dir):
         F.col("quote_type").alias("quoteType"),
         epoch("quote_timestamp").alias("regularMarketTime"),
     )
-    return responses(df, item)
+    unreadable = F.lit('"regularMarketPreviousClose":'), F.lit(
+        '"regularMarketPrice":"no price","regularMarketPreviousClose":')
+    value = F.when(F.expr("coalesce(volume, 0) % 13 = 6"), F.replace("value", *unreadable))
+    tagged = df.select("volume", F.to_json(F.struct(F.array(item).alias("body"))).alias("value"))
+    return tagged.select(value.otherwise(F.col("value")).alias("value"))
 
 
 @query(QUOTE_SQL)
@@ -103,7 +106,7 @@ select symbol, date, cast(null as double) as open, cast(null as double) as high,
   cast(null as double) as low, close, volume, cast(null as double) as adjusted_close,
   bar_interval as interval from history""")
 def normalize_history(spark, sf_dir):
-    df = view(spark, sf_dir, "history").withColumnRenamed("bar_interval", "interval")
+    df = spread(view(spark, sf_dir, "history"), "date").withColumnRenamed("bar_interval", "interval")
     item = F.struct(epoch("date").alias("timestamp_unix"), "close", "volume")
     return ntz(feeds.normalize_history(responses(df, item, "symbol", "interval")).good, "date")
 
@@ -152,7 +155,8 @@ select symbol, name, price, previous_close, volume, market_cap, change_percent,
   quote_type, quote_timestamp, message_timestamp, job_id, source, 'stock_quote' as data_type
 from quotes""")
 def envelope_roundtrip(spark, sf_dir):
-    df = view(spark, sf_dir, "quotes").withColumnRenamed("quote_timestamp", "timestamp")
+    df = spread(view(spark, sf_dir, "quotes"), "quote_timestamp").withColumnRenamed(
+        "quote_timestamp", "timestamp")
     messages = feeds.to_envelope(df, "stock_quote", F.col("job_id"), "market_feed",
                                  F.col("message_timestamp"))
     good = feeds.parse_envelope(messages, "stock_quote").good
@@ -186,7 +190,7 @@ def product_item() -> Column:
     return F.struct(
         "id", F.lit("").alias("name"), "title", "brand", "price", "category",
         F.expr("case when cast(id as bigint) % 13 = 0 then 'many' "
-               "else cast(stock_quantity as string) end").alias("stock_quantity"))
+               "else cast(stock_quantity as string) end").alias("stock_quantity"))  # as text
 
 
 PRODUCT_COLUMNS = ["product_id", "name", "brand", "price", "currency", "category", "stock_quantity"]
@@ -227,8 +231,10 @@ def catalogue_extraction(spark, sf_dir):
 
 
 @query("""
-select category as query, cast(case when stock_quantity % 2 = 0 then 77 else 1 end as integer)
-    as total_results, 1 as page, 1 as page_size, cast(null as double) as search_time
+select category as query, cast(case when stock_quantity % 2 = 0 then 77
+    when cast(id as bigint) % 13 = 0 then 0 else 1 end as integer) as total_results, 1 as page,
+  cast(case when cast(id as bigint) % 13 = 0 then 0 else 1 end as integer) as page_size,
+  cast(null as double) as search_time
 from products""")
 def flatten_search(spark, sf_dir):
     df = view(spark, sf_dir, "products")

@@ -194,3 +194,9 @@ def view_sql(name: str) -> str:
     columns = ",\n  ".join(f'{_dialect(e, False)} as "{c}"' for c, e in expressions.items())
     source = f"{base} join {join[0]} on {join[1]}" if join else base
     return f"select {columns}\nfrom {source}"
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Work on a few test files with all cores; tables of many splits are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
