@@ -80,8 +80,8 @@ def read_feed(spark: SparkSession, paths: str | list[str], tags: Sequence[str] =
     """
     # Listing below a tag folder would hide the tag from partition discovery, so it comes from
     # the path of each file.
-    raw = (spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-           .text(paths).select("value", F.col("_metadata.file_path").alias("_path")))
+    raw = (spark.read.text(paths, wholetext=True, recursiveFileLookup=True)
+           .select("value", F.col("_metadata.file_path").alias("_path")))
     return raw.select("value", *[
         F.url_decode(F.nullif(F.regexp_extract("_path", f"/{t}=([^/]+)/", 1), F.lit(""))).alias(t)
         for t in tags])
