@@ -46,14 +46,15 @@ def job_alerts(jobs: DataFrame) -> DataFrame:
             source, job))),
         F.when(F.col("duration_seconds") > SLOW_SECONDS, F.struct(*_alert(
             "warning", "medium", F.concat(F.lit("Slow Job: "), job),
-            F.format_string("Job %s took %.2f seconds", job, F.col("duration_seconds")),
+            F.format_string("Job %s took %.2f seconds", job, F.bround("duration_seconds", 2)),
             source, job))),
     )
     per_job = jobs.select(F.explode(rules).alias("a")).where("a is not null").select("a.*")
     rates = failure_rates(jobs).where(F.col("failure_rate") > FAILURE_RATE)
     per_source = rates.select(*_alert(
         "warning", "medium", F.concat(F.lit("High Failure Rate: "), source),
-        F.format_string("Failure rate for %s is %.1f%%", source, F.col("failure_rate") * 100),
+        F.format_string("Failure rate for %s is %.1f%%", source,
+                        F.bround(F.col("failure_rate") * 100, 1)),
         source))
     return per_job.unionByName(per_source)
 

@@ -143,7 +143,7 @@ def average_score(checks: DataFrame) -> DataFrame:
     for status, weight in STATUS_SCORES.items():
         score = score.when(F.col("status") == status, weight)
     mean = F.avg(score.otherwise(OTHER_SCORE))
-    return checks.agg((F.round(F.coalesce(mean, F.lit(1.0)), 9)).alias("score"))
+    return checks.agg(F.coalesce(mean, F.lit(1.0)).alias("score"))
 
 
 def quality_alerts(checks: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
@@ -161,7 +161,7 @@ def quality_alerts(checks: DataFrame, as_of: dt.datetime | None = None) -> DataF
         F.lit("warning").alias("alert_type"),
         F.lit("medium").alias("severity"),
         F.lit("Low Data Quality Score").alias("title"),
-        F.format_string("Average data quality score is %.1f%%", F.col("score") * 100)
+        F.format_string("Average data quality score is %s", _percent_text(F.col("score") * 100))
         .alias("message"),
         F.lit(None).cast("string").alias("data_source"),
     )

@@ -82,8 +82,12 @@ def read_feed(spark: SparkSession, paths: str | list[str], tags: Sequence[str] =
     # the path of each file.
     raw = (spark.read.text(paths, wholetext=True, recursiveFileLookup=True)
            .select("value", F.col("_metadata.file_path").alias("_path")))
+    def decoded(text: Column) -> Column:
+        return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+    # Two times: folder names escape the tag, and paths escape the folder name.
     return raw.select("value", *[
-        F.url_decode(F.nullif(F.regexp_extract("_path", f"/{t}=([^/]+)/", 1), F.lit(""))).alias(t)
+        decoded(decoded(F.nullif(F.regexp_extract("_path", f"/{t}=([^/]+)/", 1), F.lit("")))).alias(t)
         for t in tags])
 
 

@@ -99,13 +99,13 @@ def test_newest_json_file(spark, tmp_path):
 
 
 def test_feed_with_tags(spark, tmp_path):
-    for symbol, interval in [("A", "1d"), ("A", "1h"), ("B%20C", "1d")]:
+    for symbol, interval in [("A", "1d"), ("A", "1h"), ("B%20C+D", "1d")]:
         folder = tmp_path / f"symbol={symbol}" / f"interval={interval}"
         folder.mkdir(parents=True)
         (folder / "page1.json").write_text('{\n "body": []\n}')
     got = lake.read_feed(spark, str(tmp_path), ["symbol", "interval"]).collect()
     assert sorted((r.symbol, r.interval, json.loads(r.value)["body"]) for r in got) == [
-        ("A", "1d", []), ("A", "1h", []), ("B C", "1d", [])]
+        ("A", "1d", []), ("A", "1h", []), ("B C+D", "1d", [])]
 
 
 def test_expire_by_date_with_archive(spark, history, tmp_path):

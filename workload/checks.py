@@ -6,10 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tapeworks.functions.market import surrogate_key
 from tapeworks.operators import clean, enrich, quality
-from tapeworks.plans import staging
+from tapeworks.plans import marts, staging
 from tapeworks.plans.transform import transform
 from tapeworks.session import shared_dir
+from tapeworks.sources.sinks import save_failures, write_table
 from workload.marts import AS_OF, dimension, fact
 from workload.registry import cte, query
 from workload.views import view
@@ -190,6 +192,10 @@ def test_relationships(spark, sf_dir):
         view(spark, sf_dir, "screeners", ["symbol"]))
 
 
+def stored(df, path):
+    return df.sparkSession.read.schema(df.schema).parquet(write_table(df, path))
+
+
 @query("""
 select 'accepted_values_dim_stocks_is_active' as test, 0::bigint as failing_rows
 union all select 'not_null_dim_stocks_stock_id', 0 union all select 'not_null_dim_stocks_symbol', 0
@@ -202,11 +208,11 @@ union all select 'not_null_fact_news_sentiment_published_time', 0
 union all select 'unique_fact_news_sentiment_news_id', 0
 union all select 'relationships_fact_news_sentiment_stock_id', 0""")
 def stored_test_failures(spark, sf_dir):
-    from tapeworks.plans import marts
-    from tapeworks.sources.sinks import save_failures
-
-    dim = dimension(spark, sf_dir)
-    facts = marts.news_sentiment_fact(staging.stg_news(view(spark, sf_dir, "news")), dim)
+    # The tables are written first, as a warehouse would have them, so no test computes them anew.
+    root = shared_dir(spark, "warehouse")
+    dim = stored(dimension(spark, sf_dir), f"{root}/dim_stocks")
+    facts = stored(marts.news_sentiment_fact(staging.stg_news(view(spark, sf_dir, "news")), dim),
+                   f"{root}/fact_news_sentiment")
     tests = quality.table_tests("dim_stocks", dim)
     tests |= quality.table_tests("fact_news_sentiment", facts, {"dim_stocks": dim})
     return save_failures(tests, shared_dir(spark, "failures"))
@@ -216,8 +222,6 @@ def stored_test_failures(spark, sf_dir):
 select symbol, quote_id, stock_id from fact
 where stock_id not in (select md5(symbol) from screeners)""")
 def fact_without_screener(spark, sf_dir):
-    from tapeworks.functions.market import surrogate_key
-
     screened = view(spark, sf_dir, "screeners", ["symbol"]).select(
         surrogate_key(F.col("symbol")).alias("stock_id"))
     facts = fact(spark, sf_dir).select("symbol", "quote_id", "stock_id")

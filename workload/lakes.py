@@ -97,7 +97,8 @@ def feed_pages(spark, sf_dir):
     df.select("interval", "value").write.partitionBy("interval").text(path)
     pages = lake.read_feed(spark, path, ["interval"])
     # Each file holds one response per line.
-    lines = pages.select("interval", F.explode(F.split(F.trim("value"), "\n")).alias("value"))
+    lines = pages.select("interval", F.explode(F.split("value", "\n")).alias("value"))
+    lines = lines.where("value <> ''")
     return (lines.select("interval", F.get_json_object("value", "$.symbol").alias("symbol"))
             .groupBy("symbol", "interval").agg(F.count("*").alias("responses")))
 
