@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeworks.operators.skew import ROWS_PER_TASK, lookup_join
+
 # Required fields by data type, status limits in percent, status weights.
 REQUIRED = {
     "market_tickers": ["symbol", "name"],
@@ -193,10 +195,12 @@ def failing_accepted(df: DataFrame, column: str, values: list) -> DataFrame:
 
 
 def failing_relationship(child: DataFrame, column: str, parent: DataFrame,
-                         parent_column: str | None = None) -> DataFrame:
-    """Child rows whose key has no parent. A hot key of the child is split by the skew join."""
+                         parent_column: str | None = None,
+                         rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
+    """Child rows whose key has no parent."""
     keys = parent.select(F.col(parent_column or column).alias(column)).distinct()
-    return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    known = child.where(F.col(column).isNotNull())
+    return lookup_join(known, keys, column, "left_anti", rows_per_task).select(*child.columns)
 
 
 # The tests declared on raw tables and models.

@@ -12,33 +12,32 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
-from tapeworks.session import shared_dir
+from tapeworks.operators.skew import ROWS_PER_TASK, hot_keys
 
 CHUNK, HALO = "_chunk", "_halo"
-ROWS_PER_TASK = 5_000_000
-# Chunk lengths, from long to short.
-PERIODS = ("year", "quarter", "month", "week", "day")
+# Chunk lengths, from long to short; dates stop at the day.
+PERIODS = ("year", "quarter", "month", "week", "day", "hour", "minute")
 
 Compute = Callable[[WindowSpec], dict[str, Column]]
 
 
-def _period(name: str, time: str) -> Column:
-    return F.date_trunc(name, F.col(time)).cast("date")
-
-
 def _longest_period(rows: DataFrame, keys: list[str], time: str, limit: int) -> str:
-    """The longest period in which no key has more than ``limit`` rows; a day at the least."""
-    days = rows.groupBy(*keys, F.to_date(time).alias("_day")).agg(F.count("*").alias("_n"))
+    """The longest period in which no key has more than ``limit`` rows, else the shortest."""
+    is_date = isinstance(rows.schema[time].dataType, DateType)
+    candidates = PERIODS[:PERIODS.index("day") + 1] if is_date else PERIODS
+    finest = rows.groupBy(*keys, F.date_trunc(candidates[-1], time).alias("_at")).agg(
+        F.count("*").alias("_n"))
     periods = F.array(*[
-        F.struct(F.lit(p).alias("name"), _period(p, "_day").alias("start")) for p in PERIODS])
+        F.struct(F.lit(p).alias("name"), F.date_trunc(p, "_at").alias("start")) for p in candidates])
     sizes = (
-        days.select(*keys, "_n", F.explode(periods).alias("_p"))
+        finest.select(*keys, "_n", F.explode(periods).alias("_p"))
         .groupBy(*keys, "_p").agg(F.sum("_n").alias("_n"))
         .groupBy("_p.name").agg(F.max("_n").alias("_n")).collect()  # one row per period
     )
     fits = {row["name"] for row in sizes if row["_n"] <= limit}
-    return next((p for p in PERIODS if p in fits), PERIODS[-1])
+    return next((p for p in candidates if p in fits), candidates[-1])
 
 
 def windowed(df: DataFrame, keys: list[str], time: str, ties: tuple[str, ...], rows_before: int,
@@ -51,19 +50,14 @@ def windowed(df: DataFrame, keys: list[str], time: str, ties: tuple[str, ...], r
     """
     if rows_before < 1:
         raise ValueError("rows_before must be at least 1")
-    spark = df.sparkSession
     order = [F.col(time), *map(F.col, ties)]
     forth = [c.desc() if reverse else c.asc() for c in order]
-    # Written, so that its size is known to the joins below. At most rows / rows_per_task keys.
-    path = shared_dir(spark, "hot-keys")
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_task)
-    counts.select(*keys).write.parquet(path)
-    hot = spark.read.schema(counts.select(*keys).schema).parquet(path)
-    if hot.isEmpty():
+    hot = hot_keys(df, keys, rows_per_task)
+    if hot is None:
         return df.withColumns(compute(Window.partitionBy(*keys).orderBy(*forth)))
     period = _longest_period(df.join(hot, keys, "left_semi"), keys, time, rows_per_task)
-    flagged = df.join(hot.withColumn("_hot", F.lit(True)), keys, "left")
-    data = flagged.withColumn(CHUNK, F.when(F.col("_hot"), _period(period, time))).drop("_hot")
+    chunk = F.when(F.col("_shards").isNotNull(), F.date_trunc(period, time))
+    data = df.join(hot, keys, "left").withColumn(CHUNK, chunk).drop("_shards")
     added = compute(Window.partitionBy(*keys, CHUNK).orderBy(*forth))
     return (
         data.withColumn(HALO, F.lit(False))

@@ -1,0 +1,51 @@
+"""Hot keys: found by a count, and joined in shards."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tapeworks.session import shared_dir
+
+ROWS_PER_TASK = 5_000_000
+
+
+def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+    """Keys with more rows than one task should get, and the number of ``_shards`` to cut them
+    into; None when there are none.
+
+    Runs a count with a map-side part when called. At most rows / rows_per_task keys are hot;
+    they are written to the shared folder, so that joins know their size from the start.
+    """
+    spark = df.sparkSession
+    counts = (
+        df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_task)
+        .select(*keys, F.ceil(F.col("_n") / rows_per_task).alias("_shards"))
+    )
+    path = shared_dir(spark, "hot-keys")
+    counts.write.parquet(path)
+    hot = spark.read.schema(counts.schema).parquet(path)
+    return None if hot.isEmpty() else hot
+
+
+def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
+                rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
+    """Join a large side with one that has at most one row per key.
+
+    A small right side is broadcast if Spark knows its size. Otherwise a hot key of the left
+    side would go to one task; the adaptive skew join cannot help where the right side comes
+    out of an aggregate on the key. So rows of hot keys are cut into shards by a hash of the
+    row, and the one right row of each is repeated per shard. ``rows_per_task=None`` skips
+    the count, for data known to have no hot key.
+    """
+    hot = None if rows_per_task is None else hot_keys(left.select(key), [key], rows_per_task)
+    if hot is None:
+        return left.join(right, key, how)
+    row_hash = F.xxhash64(*[f.name for f in left.schema if not f.dataType.simpleString().startswith("map")])
+    shards = F.col("_shards")
+    salted = left.join(hot, key, "left").withColumn(
+        "_salt", F.when(shards.isNotNull(), F.pmod(row_hash, shards)).otherwise(F.lit(0)))
+    last = F.coalesce(shards - 1, F.lit(0).cast("bigint"))
+    copies = right.join(hot, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    return (salted.drop("_shards").join(copies.drop("_shards"), [key, "_salt"], how).drop("_salt"))

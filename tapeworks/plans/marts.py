@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions import bands, market
 from tapeworks.operators.latest import newest
+from tapeworks.operators.skew import ROWS_PER_TASK, lookup_join
 
 FACT_COLUMNS = [
     "quote_id", "stock_id", "symbol", "quote_timestamp", "quote_date", "quote_hour",
@@ -86,17 +87,16 @@ def quote_measures(quotes: DataFrame) -> DataFrame:
     )
 
 
-def fact_quotes(quotes: DataFrame, dim: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
+def fact_quotes(quotes: DataFrame, dim: DataFrame, as_of: dt.datetime | None = None,
+                rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
     """Valid quotes with stock attributes, time attributes and measures.
 
     ``market_cap_category`` is the one of the stock, ``quote_market_cap_category`` that of the
-    quote. No broadcast is forced: a dimension written as a table is broadcast when its size is
-    below ``autoBroadcastJoinThreshold``; beyond that the adaptive skew join splits the rows of
-    a hot symbol, which a left join allows on the side of the fact.
+    quote. See ``lookup_join`` for hot symbols and ``rows_per_task``.
     """
     stock = dim.select("symbol", "stock_id", "sector", "industry", "market_cap_category")
     return (
-        quote_measures(quotes).join(stock, "symbol", "left")
+        lookup_join(quote_measures(quotes), stock, "symbol", rows_per_task=rows_per_task)
         .select(*FACT_COLUMNS, _now(as_of).alias("created_at"))
     )
 
@@ -211,11 +211,12 @@ def market_performance(fact: DataFrame) -> DataFrame:
     )
 
 
-def news_sentiment_fact(news: DataFrame, dim: DataFrame) -> DataFrame:
+def news_sentiment_fact(news: DataFrame, dim: DataFrame,
+                        rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
     """Valid, dated news with their stock and a key over symbol, url and time."""
+    dated = news.where("is_valid_news and published_time is not null")
     return (
-        news.where("is_valid_news and published_time is not null")
-        .join(dim.select("symbol", "stock_id"), "symbol", "left")
+        lookup_join(dated, dim.select("symbol", "stock_id"), "symbol", rows_per_task=rows_per_task)
         .select(
             market.surrogate_key(
                 F.col("symbol"), F.col("url"), F.col("published_time")).alias("news_id"),

@@ -5,8 +5,11 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tapeworks import schemas
+from tapeworks.operators import quality
+from tapeworks.operators.skew import hot_keys
 from tapeworks.plans import marts, staging
 from tapeworks.sources.lake import rows
 
@@ -95,3 +98,21 @@ def test_top_picks_need_no_window(staged):
     quotes, _, news = staged
     plan = marts.daily_summary(marts.quote_measures(quotes), news, AS_OF)._jdf.queryExecution()
     assert "Window" not in plan.executedPlan().toString()
+
+
+def test_hot_symbol_is_joined_in_shards(spark, staged):
+    raw = spark.range(0, 6_000, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, "A").otherwise(F.concat(F.lit("S"), F.col("id") % 50)).alias("symbol"),
+        F.col("id").cast("double").alias("price"), F.lit(1).cast("bigint").alias("volume"),
+        F.lit(1.0).alias("change_percent"),
+        F.timestamp_seconds("id").alias("quote_timestamp"))
+    missing = {c: F.lit(None).cast("double") for c in staging.QUOTE_COLUMNS if c not in raw.columns}
+    quotes = staging.stg_quotes(raw.withColumns(missing))
+    dim = marts.dim_stocks(*staged, as_of=AS_OF).where("symbol <> 'B'")
+    sharded = marts.fact_quotes(quotes, dim, AS_OF, rows_per_task=100)
+    assert sorted(sharded.collect()) == sorted(marts.fact_quotes(quotes, dim, AS_OF, None).collect())
+    hot = {r.symbol: r._shards for r in hot_keys(quotes, ["symbol"], 100).collect()}
+    assert hot == {"A": 20}  # the first of 2,000 rows has the price 0
+    orphans = quality.failing_relationship(quotes, "symbol", dim, rows_per_task=100)
+    assert orphans.columns == quotes.columns
+    assert orphans.count() == quotes.where("symbol <> 'A'").count()

@@ -50,6 +50,16 @@ def test_daily_return_and_scd2(history, limit):
     assert got.where("is_current").count() == history.select("symbol").distinct().count()
 
 
+def test_dates_and_times_choose_their_chunks(history):
+    days = history.where("symbol = 'HOT'")
+    assert series._longest_period(days, ["symbol"], "date", 1000) == "year"
+    assert series._longest_period(days, ["symbol"], "date", 0) == "minute"
+    assert series._longest_period(days.withColumn("date", F.to_date("date")), ["symbol"], "date", 0) == "day"
+    got = series.rolling_avg(history.withColumn("date", F.to_date("date")), 5, ties=("row_id",), rows_per_task=20)
+    plain = series.rolling_avg(history, 5, ties=("row_id",))
+    assert {k: v[-1] for k, v in collected(got).items()} == {k: v[-1] for k, v in collected(plain).items()}
+
+
 @pytest.mark.parametrize("salts", [1, 7])
 def test_row_limits(history, salts):
     df = history.withColumn("interval", F.when(F.col("row_id") % 2 == 0, "1d").otherwise("1h"))
