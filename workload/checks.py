@@ -79,7 +79,7 @@ def quality_score(spark, sf_dir):
 
 
 @query(ENRICHED)
-def transform_pipeline(spark, sf_dir):
+def transform_stocks(spark, sf_dir):
     table = f"{shared_dir(spark, 'transform')}/stocks"
     result = transform(view(spark, sf_dir, "stocks"), "market_tickers", AS_OF, table)
     return result.data.drop("enriched_at")

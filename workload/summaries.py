@@ -212,13 +212,9 @@ def symbol_universe(spark, sf_dir):
     return readmodel.symbols(quotes(spark, sf_dir, "symbol"))
 
 
-@query("""
-select symbol, date, price from dated
-where symbol in ('P1', 'P2', 'P3', 'P5', 'P8') and date between date '1996-01-01' and date '1999-12-31'""")
+@query("select symbol, date, price from dated")
 def price_series(spark, sf_dir):
-    chosen = readmodel.select_view(
-        dated(spark, sf_dir), ["P1", "P2", "P3", "P5", "P8"], "1996-01-01", "1999-12-31")
-    return readmodel.series(chosen)
+    return readmodel.series(readmodel.select_view(dated(spark, sf_dir)))
 
 
 @query("""
