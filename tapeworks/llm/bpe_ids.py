@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import functools
+import sys
+from array import array
 from collections.abc import Callable
 
-import numpy as np
 from tokenizers import Tokenizer
 
 from tapeworks.llm.pieces import PieceCache, byte_letters, is_plain_byte_bpe, read_settings
@@ -25,7 +26,10 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     settings = read_settings(path)
 
     def as_bytes(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        out = array("I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     if not is_plain_byte_bpe(settings):
         return lambda texts: [as_bytes(e.ids) for e in
@@ -33,9 +37,13 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     model, letters = tokenizer.model, byte_letters()
     shown = dict(enumerate(letters))
 
+    def spelled(piece: str) -> str:
+        if piece.isascii() and piece.isprintable():
+            return piece.replace(" ", letters[32])
+        return piece.encode().decode("latin-1").translate(shown)
+
     def encode(pieces: list[str]) -> list[bytes]:
-        return [as_bytes([t.id for t in model.tokenize(p.encode().decode("latin-1").translate(shown))])
-                for p in pieces]
+        return [as_bytes([t.id for t in model.tokenize(spelled(p))]) for p in pieces]
 
     special = {t["content"]: as_bytes([t["id"]]) for t in settings.get("added_tokens", ())}
     return PieceCache(encode, b"".join, special)

@@ -8,6 +8,7 @@ pattern as a whole. Caches are emptied when they reach a fixed number of entries
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Callable, Iterable
 from typing import Any
@@ -48,7 +49,7 @@ class PieceCache:
     """
 
     def __init__(self, encode: Callable[[list[str]], list], join: Callable[[Iterable], Any],
-                 special: dict[str, Any], limit: int = 300_000) -> None:
+                 special: dict[str, Any], limit: int = 400_000) -> None:
         self.encode, self.join, self.special, self.limit = encode, join, special, limit
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True)))
                                  + ")") if special else None
@@ -56,7 +57,7 @@ class PieceCache:
         self.chunks: dict[str, Any] = {}
 
     def pretokens(self, text: str) -> list[str]:
-        if not self.cut:
+        if not any(mark in text for mark in self.special):
             return PRETOKEN.findall(text)
         out: list[str] = []
         for part in self.cut.split(text):
@@ -66,47 +67,52 @@ class PieceCache:
     def learn(self, pieces: Iterable[str]) -> None:
         if len(self.pieces) > self.limit:
             self.pieces = {}
-        new = list({p for p in pieces if p not in self.pieces and p not in self.special})
-        self.pieces.update(zip(new, self.encode(new)))
         self.pieces.update(self.special)
+        new = list(set(pieces).difference(self.pieces))
+        self.pieces.update(zip(new, self.encode(new)))
 
-    def _learn_chunks(self, rows: list[list[str]]) -> None:
+    def _split(self, chunk: str) -> Iterable[str] | None:
+        """Pre-tokens of a chunk, with the space before it; None where its white space is not alone."""
+        if chunk.isalpha():
+            return (" " + chunk,)
+        if chunk[:-1].isalpha() and chunk[-1] in ".,":
+            return " " + chunk[:-1], chunk[-1]
+        line = chunk[:1] == "\n"
+        body = chunk[1:] if line else chunk
+        if not body or body.split() != [body]:
+            return None
+        return self.pretokens(chunk if line else " " + chunk)
+
+    def _learn_chunks(self, rows: list[list[str]]) -> dict[str, Any]:
+        """Fill the caches for some texts' chunks; returns the values of their first chunks."""
         if len(self.chunks) > self.limit:
             self.chunks = {}
         seen: set[str] = set()
         for row in rows:
-            seen.update(row[1:])
-        split: dict[str, list[str]] = {}
-        for chunk in seen:
-            if chunk in self.chunks:
-                continue
-            line = chunk[:1] == "\n"
-            body = chunk[1:] if line else chunk
-            if not body or body.split() != [body]:
-                self.chunks[chunk] = None
-            else:
-                split[chunk] = self.pretokens(chunk if line else " " + chunk)
+            seen.update(row)
+        new = list(seen.difference(self.chunks))
+        split = list(map(self._split, new))
         firsts = {row[0]: self.pretokens(row[0]) for row in rows}
-        self.learn(p for parts in (*split.values(), *firsts.values()) for p in parts)
-        look, join = self.pieces.__getitem__, self.join
-        for chunk, parts in split.items():
-            self.chunks[chunk] = join(map(look, parts))
-        self.firsts = {text: join(map(look, parts)) for text, parts in firsts.items()}
+        self.learn(itertools.chain(itertools.chain.from_iterable(filter(None, split)), *firsts.values()))
+        look, join, chunks = self.pieces.__getitem__, self.join, self.chunks
+        for chunk, parts in zip(new, split):
+            if parts is None:
+                chunks[chunk] = None
+            else:
+                chunks[chunk] = look(parts[0]) if len(parts) == 1 else join(map(look, parts))
+        return {text: join(map(look, parts)) for text, parts in firsts.items()}
 
     def __call__(self, texts: list[str]) -> list:
         rows = [text.replace("\n", " \n").split(" ") for text in texts]
-        self._learn_chunks(rows)
+        firsts = self._learn_chunks(rows)
         out, chunk, join = [], self.chunks.__getitem__, self.join
-        whole: list[int] = []
-        for k, row in enumerate(rows):
-            values = [self.firsts[row[0]], *map(chunk, row[1:])]
-            if None in values:
-                whole.append(k)
-                values = ()
-            out.append(join(values))
-        if whole:
-            split = {k: self.pretokens(texts[k]) for k in whole}
-            self.learn(p for parts in split.values() for p in parts)
-            for k, parts in split.items():
-                out[k] = join(map(self.pieces.__getitem__, parts))
+        for text, row in zip(texts, rows):
+            first = firsts[row[0]]
+            row[0] = ""
+            try:
+                out.append(join((first, join(map(chunk, itertools.islice(row, 1, None))))))
+            except TypeError:  # a chunk that is None
+                parts = self.pretokens(text)
+                self.learn(parts)
+                out.append(join(map(self.pieces.__getitem__, parts)))
         return out
