@@ -7,11 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tapeworks.llm.line_dedup import line_dedup
 from tapeworks.llm.mixture import mixture
+from tapeworks.llm.ngram_join import ngram_join
+from tapeworks.llm.packing import pack_documents
 from tapeworks.llm.quality_rules import quality_rules
 from tapeworks.llm.secret_scan import secret_scan
 from tapeworks.llm.token_counts import token_counts
 from tapeworks.llm.token_files import read_token_files, write_token_files
+from tapeworks.llm.weak_quality import weak_quality
 from tapeworks.session import shared_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -25,6 +29,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_documents(spark, sf_dir))
 
@@ -35,6 +43,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder)
 
 
+def op5_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality(_documents(spark, sf_dir)).select("doc_id", "quality_score", "quality_kept")
+
+
 def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(_documents(spark, sf_dir))
 
@@ -43,6 +55,16 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(_documents(spark, sf_dir))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(_documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_secret_scan, op4_token_files, op6_mixture, op8_token_counts)}
+    f.__name__: f for f in (
+        op1_quality_rules, op2_packing, op3_secret_scan, op4_token_files, op5_weak_quality, op6_mixture,
+        op8_token_counts, op9_ngram_join, op10_line_dedup)}
 ORACLE: dict[str, str] = {}
