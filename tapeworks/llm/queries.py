@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tapeworks.llm.line_dedup import line_dedup
 from tapeworks.llm.mixture import mixture
 from tapeworks.llm.ngram_join import ngram_join
+from tapeworks.llm.nn_descent import nearest_neighbours
 from tapeworks.llm.packing import pack_documents
 from tapeworks.llm.quality_rules import quality_rules
 from tapeworks.llm.secret_scan import secret_scan
@@ -51,6 +52,11 @@ def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(_documents(spark, sf_dir))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest_neighbours(vectors, vectors["vec_id"] % 20 == 0)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
@@ -66,5 +72,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_packing, op3_secret_scan, op4_token_files, op5_weak_quality, op6_mixture,
-        op8_token_counts, op9_ngram_join, op10_line_dedup)}
+        op7_nearest_neighbours, op8_token_counts, op9_ngram_join, op10_line_dedup)}
 ORACLE: dict[str, str] = {}
