@@ -200,8 +200,14 @@ def ngram_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: flo
     buckets = (placed.groupBy("band", "hash").agg(F.min("key").alias("b"), F.count("*").alias("c"))
                .where(F.col("c") > 1).drop("c"))
     edges = placed.join(buckets, ["band", "hash"]).where(F.col("key") != F.col("b")) \
-        .select(F.col("key").alias("a"), "b").distinct()
-    parts = components(edges, "ngram-parts")
+        .select(F.col("key").alias("a"), "b")
+    # A text's bands give up to that many smallest members; chained to the least of them, they leave one
+    # edge per text and few among the smallest members.
+    stars = edges.groupBy("a").agg(F.min("b").alias("m"), F.collect_set("b").alias("bs"))
+    stars = stored(stars, "ngram-stars")
+    edges = stars.select("a", F.col("m").alias("b")).union(
+        stars.select(F.explode("bs").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b")))
+    parts = components(edges.distinct(), "ngram-parts")
     sizes = parts.groupBy("root").agg(F.count("*").alias("size"))
     members = stored(
         parts.join(sizes, "root").withColumn("chunks", F.ceil(F.col("size") / block).cast("int"))
