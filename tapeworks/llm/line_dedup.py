@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeworks.llm.common import SPACE, WORD, stored
+from tapeworks.llm.common import WORD, stored
 
 
 def _key(doc_id: Column, text: Column) -> Column:
@@ -18,12 +18,12 @@ def document_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     ``h`` is the hash of the trimmed line, ``n`` its words, ``start`` the words before it.
     """
-    trimmed = F.regexp_replace("raw", f"^{SPACE}+|{SPACE}+$", "")
+    trimmed = F.trim("raw", F.lit(" \t\n\x0b\f\r"))
     lines = (docs.select(docs[doc_id].alias("doc_id"), _key(docs[doc_id], docs[text]).alias("doc"),
                          F.posexplode(F.split(docs[text], "\n", -1)).alias("line", "raw"))
-             .where(F.col("raw").rlike(WORD))
              .select("doc_id", "doc", "line", F.xxhash64(trimmed).alias("h"),
-                     F.regexp_count("raw", F.lit(WORD)).cast("long").alias("n")))
+                     F.regexp_count("raw", F.lit(WORD)).cast("long").alias("n"))
+             .where(F.col("n") > 0))
     in_order = Window.partitionBy("doc").orderBy("line")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     return (lines.repartition("doc").dropDuplicates(["doc", "line"])
