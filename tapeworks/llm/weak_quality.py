@@ -34,6 +34,7 @@ LIMITS = {
 LABELLERS = (*LIMITS, "short_words", "variety")
 # Signs that the first labeller looks for.
 SIGNS = frozenset("#*$%&|<>{}\\^~")
+FLAGS = np.arange(64)
 TWICE = re.compile(r"([^\w\s.!?-])\1")
 
 
@@ -46,6 +47,12 @@ class Words:
 
     def _look(self, word: str) -> tuple[int, int, int]:
         """Flags, hashed shape, hashed word."""
+        mask, code = (1 << self.bits) - 1, zlib.crc32(word.lower().encode())
+        # Most new words are letters and perhaps a full stop or comma.
+        body, end = (word[:-1], word[-1]) if word[-1] in ".," else (word, "")
+        if body.isalpha() and (body[1:].islower() or len(body) == 1) and len(body) <= 63:
+            shape = ("A" if body[0].isupper() else "a") + ("a" if len(body) > 1 and body[0].isupper() else "") + end
+            return (len(body) <= 3) << 4, zlib.crc32(shape.encode()) & mask, code & mask
         letters = sum(map(str.isalpha, word))
         flags = (bool(SIGNS & set(word)) | (letters >= 2 and word.upper() == word and word.lower() != word) << 1
                  | (not letters and not any(map(str.isdigit, word))) << 2 | ("!!" in word) << 3
@@ -56,8 +63,7 @@ class Words:
             if kind != last:
                 shape.append(kind)
             last = kind
-        mask = (1 << self.bits) - 1
-        return flags, zlib.crc32("".join(shape).encode()) & mask, zlib.crc32(word.lower().encode()) & mask
+        return flags, zlib.crc32("".join(shape).encode()) & mask, code & mask
 
     def __call__(self, words: list[str]) -> np.ndarray:
         if len(self.known) > self.limit:
@@ -77,15 +83,16 @@ def votes(text: str, words: list[str], seen: np.ndarray) -> list[int]:
     n = len(words)
     if n < 5:
         return [NONE] * len(LABELLERS)
-    flags = seen[:, 0]
+    by_flags = np.bincount(seen[:, 0], minlength=64)
+    share = lambda bit: float(by_flags[FLAGS & bit > 0].sum()) / n
     lines = [x for x in text.split("\n") if x.strip()]
-    shares = [np.mean(flags & 1 > 0), np.mean(flags & 2 > 0), np.mean(seen[1:, 2] == seen[:-1, 2]),
-              1 - len(set(lines)) / max(1, len(lines)), np.mean(flags & 4 > 0), np.mean(flags & 8 > 0), np.mean(flags & 32 > 0)]
+    shares = [share(1), share(2), np.count_nonzero(seen[1:, 2] == seen[:-1, 2]) / n,
+              1 - len(set(lines)) / max(1, len(lines)), share(4), share(8), share(32)]
     out = [GOOD if s <= low else BAD if s >= high else NONE for s, (low, high) in zip(shares, LIMITS.values())]
-    short = np.mean(flags & 16 > 0)
+    short = share(16)
     out.append(GOOD if short >= 0.25 else BAD if short <= 0.05 and n >= 30 else NONE)
     # Distinct words fall with length, so the share is held against the square root of the length.
-    variety = len(np.unique(seen[:, 2])) / math.sqrt(n)
+    variety = len(set(words)) / math.sqrt(n)
     out.append(NONE if n < 50 else GOOD if variety >= 4 else BAD if variety <= 2 else NONE)
     return out
 
