@@ -89,13 +89,13 @@ def line_dedup(docs: DataFrame, min_words: int = 50, doc_id: str = "doc_id", tex
     text) count as one document and get the same result; NULL ids come last; an empty table stays empty.
     """
     deleted = repeated_lines(docs, min_words, doc_id, text)
-    deleted = stored(deleted.groupBy("doc").agg(F.collect_list("line").alias("gone")), "line-deletions")
+    deleted = stored(deleted.groupBy("doc").agg(F.collect_list("line").alias("_gone")), "line-deletions")
     given = docs.drop("n_lines", "n_removed").withColumn("_doc", _key(docs[doc_id], docs[text]))
     joined = given.join(deleted.withColumnRenamed("doc", "_doc"), "_doc", "left")
     lines = F.split(F.col(text), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, k: ~F.array_contains("gone", k)), "\n")
+    kept = F.array_join(F.filter(lines, lambda x, k: ~F.array_contains("_gone", k)), "\n")
     return joined.select(
-        *[(F.when(F.col("gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c))
+        *[(F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept).alias(text) if c == text else F.col(c))
           for c in given.columns if c != "_doc"],
         F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("n_removed"))
+        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("n_removed"))
