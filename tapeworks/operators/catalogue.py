@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeworks import schemas
 from tapeworks.functions.text import blank_to_null, parse_number
-from tapeworks.operators.feeds import REJECTED, Parsed, read_json, split
+from tapeworks.operators.feeds import REJECTED, Parsed, no_list, read_json, split
 
 # Product fields whose JSON name differs or has an alternative.
 PRODUCT_FIELDS = {
@@ -52,9 +52,12 @@ def _pages(responses: DataFrame, keep: list[str], header: tuple[str, ...] = ())
 
 
 def _products(pages: DataFrame, keep: list[str]) -> Parsed:
-    df = pages.select(*keep, F.explode_outer("products").alias("item")).where("item is not null")
+    df = (pages.select(*keep, "_value", no_list("products").alias("_no_list"),
+                       F.explode_outer("products").alias("item"))
+          .where("item is not null or _no_list"))
     item = F.col("item")
-    return split(df, _product(item), {}, [], keep, item, F.to_json(item))
+    record = F.when(F.col("_no_list"), F.col("_value")).otherwise(F.to_json(item))
+    return split(df, _product(item), {}, [], keep, item, record, F.col("_no_list"))
 
 
 def normalize_products(responses: DataFrame) -> Parsed:
@@ -86,7 +89,7 @@ def flatten_search(responses: DataFrame) -> tuple[DataFrame, Parsed]:
         page,
         F.coalesce(F.col("page_size").try_cast("int"), readable).alias("page_size"),
         F.col("search_time").try_cast("double").alias("search_time"))
-    return headers, _products(pages.select("query", page, "products"), ["query", "page"])
+    return headers, _products(pages.select("query", page, "products", "_value"), ["query", "page"])
 
 
 def union_categories(parts: list[DataFrame]) -> DataFrame:

@@ -93,17 +93,30 @@ def read_json(df: DataFrame, keep: list[str], header: dict[str, str], path: str,
         .alias(path))
 
 
+def no_list(path: str) -> Column:
+    """Whether a document (``_value``, parsed to the column ``path``) is no JSON or has something else
+    than a list there. A document that says nothing there holds no records and is no error."""
+    root = F.get_json_object("_value", "$")
+    return F.col(path).isNull() & (root.isNull() | F.get_json_object("_value", f"$.{path}").isNotNull())
+
+
 def split(df: DataFrame, columns: dict[str, Column], times: dict[str, Column], required: list[str],
-          keep: list[str], item: Column, record: Column) -> Parsed:
-    """Part good rows from rejects. ``times`` are the texts that time columns come from."""
+          keep: list[str], item: Column, record: Column, unreadable: Column | None = None) -> Parsed:
+    """Part good rows from rejects. ``times`` are the texts that time columns come from.
+
+    Where ``unreadable`` holds, ``record`` is a whole document without readable records.
+    """
     cast = once(df.withColumn("_record", F.coalesce(item[REJECTED], record)), [*keep, "_record"], {
         **{f"_{n}": c for n, c in columns.items()},
         "_unfit": item[REJECTED].isNotNull(),
+        "_unreadable": F.lit(False) if unreadable is None else unreadable,
         **{f"_text_{n}": text for n, text in times.items()}})
     missing = _any([F.col(f"_{n}").isNull() for n in required])
     unfit = F.coalesce(F.col("_unfit"), F.lit(False)) | _any(
         [F.col(f"_text_{n}").isNotNull() & F.col(f"_{n}").isNull() for n in times])
-    reason = F.when(missing, "missing required field").otherwise("value of wrong type")
+    reason = (F.when(F.col("_unreadable"), "unreadable document")
+              .when(missing, "missing required field").otherwise("value of wrong type"))
+    unfit = unfit | F.col("_unreadable")
     return Parsed(
         cast.where(~(missing | unfit)).select(*keep, *[F.col(f"_{n}").alias(n) for n in columns]),
         cast.where(missing | unfit).select(
@@ -249,8 +262,10 @@ def _normalize(responses: DataFrame, ddl: str, fields: dict[str, list[str]],
              for field in schema for name in fields.get(field.name, [])}
     pages = read_json(responses, list(keep), {}, "body", types)
     # An inner explode would have the optimizer add a filter that copies the whole parse.
-    df = (pages.select(*keep, F.posexplode_outer("body").alias("pos", "item"))
-          .where("pos is not null"))
+    # A document without a readable list stays and is rejected; an empty list holds nothing.
+    df = (pages.select(*keep, "_value", no_list("body").alias("_no_list"),
+                       F.posexplode_outer("body").alias("pos", "item"))
+          .where("pos is not null or _no_list"))
     columns, times = {}, {}
     for field in schema:
         alternatives = [F.col(f"item.`{n}`") for n in fields.get(field.name, [])]
@@ -268,7 +283,8 @@ def _normalize(responses: DataFrame, ddl: str, fields: dict[str, list[str]],
         if field.name in (defaults or {}):
             column = F.coalesce(column, F.lit(defaults[field.name]))
         columns[field.name] = column
-    return split(df, columns, times, required, [], F.col("item"), F.to_json("item"))
+    record = F.when(F.col("_no_list"), F.col("_value")).otherwise(F.to_json("item"))
+    return split(df, columns, times, required, [], F.col("item"), record, F.col("_no_list"))
 
 
 def normalize_quotes(responses: DataFrame, name_fields: tuple[str, ...] = ("longName", "shortName"),
@@ -321,7 +337,10 @@ def normalize_modules(responses: DataFrame) -> Parsed:
     body = F.get_json_object(F.col("value").cast("string"), "$.body")
     df = responses.select(
         "symbol", "module_type", F.coalesce(body, F.lit("{}")).alias("data"),
-        F.col("value").cast("string").alias("record"))
+        F.col("value").cast("string").alias("record"),
+        # Well-formed JSON has a root, with or without a body.
+        F.get_json_object(F.col("value").cast("string"), "$").isNull().alias("broken"))
     complete = F.col("symbol").isNotNull() & F.col("module_type").isNotNull()
-    return Parsed(df.where(complete).drop("record"),
-                  df.where(~complete).select("record", F.lit("missing required field").alias("reason")))
+    reason = F.when(F.col("broken"), "unreadable document").otherwise("missing required field")
+    return Parsed(df.where(complete & ~F.col("broken")).drop("record", "broken"),
+                  df.where(~complete | F.col("broken")).select("record", reason.alias("reason")))

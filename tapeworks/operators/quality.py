@@ -171,10 +171,12 @@ def quality_alerts(checks: DataFrame, as_of: dt.datetime | None = None) -> DataF
 
 
 def gate(checks: DataFrame) -> None:
-    """Raise when a check failed. Reads back at most a few lines of messages."""
-    failed = checks.where("status = 'error'").select("data_source", "message").limit(20).collect()
+    """Raise when a check failed, naming all of them. One line per source and kind of check comes back."""
+    failed = (checks.where("status = 'error'").groupBy("data_source", "check_type")
+              .agg(F.array_join(F.array_sort(F.collect_set("message")), "; ").alias("messages"))
+              .orderBy("data_source", "check_type").collect())
     if failed:
-        raise QualityError("; ".join(f"{row.data_source}: {row.message}" for row in failed))
+        raise QualityError("; ".join(f"{row.data_source}: {row.messages}" for row in failed))
 
 
 # --- tests on tables: each returns the failing rows ----------------------------------------

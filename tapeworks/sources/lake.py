@@ -58,18 +58,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def read_latest_json(spark: SparkSession, folder: str, ddl: str, pattern: str = "*.json") -> DataFrame:
+def read_latest_json(spark: SparkSession, folder: str, ddl: str, pattern: str = "*.json",
+                     layout: str = "document") -> DataFrame:
     """Records of the JSON file modified last; none when there is no such file.
 
+    ``layout`` is "lines" (a record per line) or "document" (one record or array over the whole file).
     Only one path comes to the driver, and only that file is read.
     """
+    if layout not in ("lines", "document"):
+        raise ValueError(f"unknown layout: {layout}")
     newest = []
     if exists(spark, folder):
         newest = (files(spark, folder, pattern)
                   .orderBy(F.desc("modificationTime"), F.desc("path")).limit(1).collect())
     if not newest:
         return spark.createDataFrame([], schemas.struct(ddl))
-    return spark.read.schema(ddl).option("multiLine", "true").json(newest[0].path)
+    return spark.read.schema(ddl).option("multiLine", layout == "document").json(newest[0].path)
 
 
 def read_feed(spark: SparkSession, paths: str | list[str], tags: Sequence[str] = ()) -> DataFrame:
@@ -142,8 +146,10 @@ def expire(spark: SparkSession, path: str, as_of: dt.datetime, days: int = 30,
            archive: str | None = None, by: str = "date") -> int:
     """Delete the files of a Parquet table that are older than ``days``; returns their number.
 
-    With ``archive`` the rows are first copied there, by date partition. A repeated run
-    overwrites those partitions, so a run that broke off between copy and delete does no harm.
+    With ``archive`` the rows are first added there, by date partition, each with the file it came
+    from (``source_file``). Files that the archive knows are not copied again, so a run that broke off
+    between copy and delete can be repeated, and late files of an archived day are added to it. Nothing
+    is deleted unless the archive holds as many rows of these files as the table.
     Only file names pass the driver, one at a time.
     """
     old = expired_files(spark, path, as_of, days, by)
@@ -151,9 +157,18 @@ def expire(spark: SparkSession, path: str, as_of: dt.datetime, days: int = 30,
         if by != "date":
             raise ValueError("an archive needs a table partitioned by date")
         cutoff = (as_of - dt.timedelta(days=days)).date()
-        (spark.read.parquet(path).where(F.col("date") < F.lit(cutoff))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date").parquet(archive))
+        rows = (spark.read.parquet(path).withColumn("source_file", F.col("_metadata.file_path"))
+                .where(F.col("date") < F.lit(cutoff)))
+        new = rows
+        if exists(spark, archive):
+            known = spark.read.parquet(archive).select("source_file").distinct()
+            new = rows.join(known, "source_file", "left_anti")
+        new.write.mode("append").partitionBy("date").parquet(archive)
+        spark.catalog.refreshByPath(archive)
+        if rows.limit(1).count():
+            copied = spark.read.parquet(archive).join(rows.select("source_file").distinct(), "source_file", "left_semi")
+            if copied.count() != rows.count():
+                raise RuntimeError(f"{archive} does not hold all expired rows of {path}; nothing was deleted")
     hadoop = spark._jvm.org.apache.hadoop.fs
     system = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     deleted = 0
@@ -177,8 +192,18 @@ def mark_expired(df: DataFrame, policies: dict[str, int], as_of: dt.datetime,
 def apply_retention(df: DataFrame, policies: dict[str, int], as_of: dt.datetime, keep: str,
                     archive: str | None = None, source: str = "data_source",
                     time: str = "created_at") -> None:
-    """Write the rows to keep to ``keep`` and, before that, the expired ones to ``archive``."""
+    """Write the rows to keep to ``keep`` and, before that, the expired ones to ``archive``.
+
+    Each run has its own partition of the archive, named by ``as_of``; a repeated run replaces only
+    that. Neither path may be one that ``df`` is read from.
+    """
+    read = [file.split("://")[-1].lstrip("/") for file in df.inputFiles()]
+    for path in filter(None, (keep, archive)):
+        own = path.split("://")[-1].strip("/") + "/"
+        if any(file.startswith(own) or f"/{own}" in file for file in read):
+            raise ValueError(f"{path} is an input of the rows")
     marked = mark_expired(df, policies, as_of, source, time)
     if archive is not None:
-        marked.where("expired").drop("expired").write.mode("overwrite").parquet(archive)
+        marked.where("expired").drop("expired").write.mode("overwrite").parquet(
+            f"{archive.rstrip('/')}/run={as_of:%Y%m%dT%H%M%S}")
     marked.where("not expired").drop("expired").write.mode("overwrite").parquet(keep)

@@ -39,13 +39,27 @@ def test_quotes_keep_good_records_of_a_bad_document(spark):
     assert good["A"].timestamp == dt.datetime(2023, 11, 14, 22, 13, 20)
     assert (good["B"].price, good["B"].volume, good["B"].currency) == (12.5, 50_000_000, "EUR")
     assert good["B"].timestamp == dt.datetime(2024, 1, 1, 10)
-    rejects = [(r.reason, json.loads(r.record).get("symbol")) for r in parsed.rejects.collect()]
+    unreadable = parsed.rejects.where("reason = 'unreadable document'")
+    assert [r.record for r in unreadable.collect()] == ["no json"]
+    rejects = [(r.reason, json.loads(r.record).get("symbol"))
+               for r in parsed.rejects.exceptAll(unreadable).collect()]
     assert sorted(rejects, key=str) == [
         ("missing required field", None), ("value of wrong type", "D"), ("value of wrong type", "E")]
     assert "cheap" in parsed.rejects.where("reason = 'value of wrong type'").agg(
         F.concat_ws("", F.collect_list("record"))).first()[0]
 
 
+def test_documents_without_a_list_are_rejected(spark):
+    docs = documents(spark, ["{broken", {"body": {"symbol": "A"}}, {"body": []}, {}])
+    for normalize in (feeds.normalize_quotes, feeds.normalize_tickers):
+        parsed = normalize(docs)
+        assert parsed.good.count() == 0
+        assert {r.reason for r in parsed.rejects.collect()} == {"unreadable document"}
+        assert parsed.rejects.count() == 2
+    products = catalogue.normalize_products(documents(spark, ["{broken", {"products": 5}, {"products": []}]))
+    assert (products.good.count(), products.rejects.count()) == (0, 2)
+
+
 def test_documents_that_fit_take_the_typed_path(spark):
     body = [{"symbol": s, "regularMarketPrice": 1.5} for s in "XY"]
     parsed = feeds.normalize_quotes(documents(spark, [{"body": body}]))

@@ -96,6 +96,26 @@ def test_newest_json_file(spark, tmp_path):
         os.utime(path, (stamp, stamp))
     assert lake.read_latest_json(spark, str(tmp_path), ddl, "quotes_*.json").first().symbol == "quotes_a"
     assert lake.read_latest_json(spark, str(tmp_path), ddl, "none_*.json").count() == 0
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps({"symbol": f"s{i}", "price": i}) for i in range(100)))
+    assert lake.read_latest_json(spark, str(tmp_path), ddl, "lines.json", layout="lines").count() == 100
+    with pytest.raises(ValueError):
+        lake.read_latest_json(spark, str(tmp_path), ddl, layout="rows")
+
+
+def test_archive_survives_reruns_and_late_rows(spark, history, tmp_path):
+    path, archive = str(tmp_path / "table"), str(tmp_path / "archive")
+    as_of = dt.datetime(2024, 1, 10)
+    rows = spark.range(20).selectExpr("id", "date_add(date'2024-01-01', cast(id % 2 as int)) as date")
+    rows.repartition(2).write.partitionBy("date").parquet(path)
+    # A run that broke off after the copy and some deletes.
+    copied = spark.read.parquet(path).withColumn("source_file", F.col("_metadata.file_path"))
+    copied.write.partitionBy("date").parquet(archive)
+    next(iter(sorted((tmp_path / "table" / "date=2024-01-01").glob("*.parquet")))).unlink()
+    lake.expire(spark, path, as_of, 5, archive)
+    assert spark.read.parquet(archive).count() == 20
+    rows.where("id < 4").write.mode("append").partitionBy("date").parquet(path)
+    lake.expire(spark, path, as_of, 5, archive)
+    assert spark.read.parquet(archive).count() == 24
 
 
 def test_feed_with_tags(spark, tmp_path):

@@ -83,7 +83,7 @@ def latest_json(spark, sf_dir):
     df = view(spark, sf_dir, "screeners", ["symbol", "price", "rank"])
     path = sinks.write_table(df, f"{shared_dir(spark, 'latest')}/screeners", "json")
     ddl = "symbol STRING, price DOUBLE, rank INT"
-    newest = lake.read_latest_json(spark, path, ddl)
+    newest = lake.read_latest_json(spark, path, ddl, layout="lines")
     return newest.groupBy("rank").agg(F.count("*").alias("rows"))
 
 
