@@ -168,6 +168,11 @@ def test_retention_policies(jobs, tmp_path):
     lake.apply_retention(jobs, {"q": 3}, NOW, str(tmp_path / "keep"), str(tmp_path / "archive"))
     read = jobs.sparkSession.read.parquet
     assert [r.job_id for r in read(str(tmp_path / "archive")).collect()] == ["2"]
+    # A later run adds to the archive; the same run again replaces its own part.
+    later = jobs.where("job_id = '2'").withColumn("job_id", F.lit("9"))
+    for _ in range(2):
+        lake.apply_retention(later, {"q": 3}, NOW + dt.timedelta(days=1), str(tmp_path / "keep2"), str(tmp_path / "archive"))
+    assert sorted(r.job_id for r in read(str(tmp_path / "archive")).collect()) == ["2", "9"]
     assert sorted(r.job_id for r in read(str(tmp_path / "keep")).collect()) == ["1", "3"]
     assert lake.mark_expired(jobs, {}, NOW).where("expired").count() == 0
 
