@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tapeworks.llm.line_dedup import line_dedup
 from tapeworks.llm.mixture import mixture
 from tapeworks.llm.ngram_join import ngram_join
 from tapeworks.llm.nn_descent import nearest_neighbours
+from tapeworks.llm.oracle import ORACLE  # noqa: F401
 from tapeworks.llm.packing import pack_documents
 from tapeworks.llm.quality_rules import quality_rules
 from tapeworks.llm.secret_scan import secret_scan
@@ -27,7 +29,8 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(_documents(spark, sf_dir))
+    rules = quality_rules(_documents(spark, sf_dir))
+    return rules.withColumn("host_rate", F.round("host_rate", 9))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,4 +76,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_packing, op3_secret_scan, op4_token_files, op5_weak_quality, op6_mixture,
         op7_nearest_neighbours, op8_token_counts, op9_ngram_join, op10_line_dedup)}
-ORACLE: dict[str, str] = {}
