@@ -2,15 +2,35 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.llm.common import WORD, stored
 
+# White space that a line may hold besides blanks.
+OTHER_SPACE = "\t\x0b\f\r"
+
 
 def _key(doc_id: Column, text: Column) -> Column:
-    """Names a document: equal rows are one document. Hexadecimal, of 128 bits."""
-    return F.md5(F.concat_ws("\x1f", F.coalesce(doc_id.cast("string"), F.lit("\x1e")), text))
+    """Names a document: equal rows are one document. Binary, of 128 bits."""
+    return F.unhex(F.md5(F.concat_ws("\x1f", F.coalesce(doc_id.cast("string"), F.lit("\x1e")), text)))
+
+
+def _trimmed(line: Column) -> Column:
+    """A line without outer white space. Trimming by a set of signs is slow, and few lines need it."""
+    plain = F.trim(line)
+    others = [edge(sign) for sign in OTHER_SPACE for edge in (plain.startswith, plain.endswith)]
+    return F.when(reduce(or_, others), F.trim(plain, F.lit(" " + OTHER_SPACE))).otherwise(plain)
+
+
+def _words(trimmed: Column) -> Column:
+    """Words of a trimmed line that is not empty; single blanks are counted without a pattern."""
+    odd = reduce(or_, [trimmed.contains(x) for x in ("  ", *OTHER_SPACE)])
+    blanks = F.octet_length(trimmed) - F.octet_length(F.replace(trimmed, F.lit(" "), F.lit("")))
+    return F.when(odd, F.regexp_count(trimmed, F.lit(WORD))).otherwise(blanks + 1).cast("long")
 
 
 def document_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -18,12 +38,11 @@ def document_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     ``h`` is the hash of the trimmed line, ``n`` its words, ``start`` the words before it.
     """
-    trimmed = F.trim("raw", F.lit(" \t\n\x0b\f\r"))
     lines = (docs.select(docs[doc_id].alias("doc_id"), _key(docs[doc_id], docs[text]).alias("doc"),
                          F.posexplode(F.split(docs[text], "\n", -1)).alias("line", "raw"))
-             .select("doc_id", "doc", "line", F.xxhash64(trimmed).alias("h"),
-                     F.regexp_count("raw", F.lit(WORD)).cast("long").alias("n"))
-             .where(F.col("n") > 0))
+             .select("doc_id", "doc", "line", _trimmed(F.col("raw")).alias("raw"))
+             .where(F.col("raw") != "")
+             .select("doc_id", "doc", "line", F.xxhash64("raw").alias("h"), _words(F.col("raw")).alias("n")))
     in_order = Window.partitionBy("doc").orderBy("line")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     return (lines.repartition("doc").dropDuplicates(["doc", "line"])
