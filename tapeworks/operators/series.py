@@ -45,8 +45,8 @@ def windowed(df: DataFrame, keys: list[str], time: str, ties: tuple[str, ...], r
              rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Add window columns that look back ``rows_before`` rows (ahead, with ``reverse``).
 
-    ``time`` and ``ties`` must order the rows of a key without ties. ``compute`` gets a window
-    per key, in that order, and must not look farther.
+    ``time`` and ``ties`` must order the rows of a key without ties; NULL times come before all
+    others. ``compute`` gets a window per key, in that order, and must not look farther.
     """
     if rows_before < 1:
         raise ValueError("rows_before must be at least 1")
@@ -56,7 +56,9 @@ def windowed(df: DataFrame, keys: list[str], time: str, ties: tuple[str, ...], r
     if hot is None:
         return df.withColumns(compute(Window.partitionBy(*keys).orderBy(*forth)))
     period = _longest_period(df.join(hot, keys, "left_semi"), keys, time, rows_per_task)
-    chunk = F.when(F.col("_shards").isNotNull(), F.date_trunc(period, time))
+    # Rows without a time come first in order, so they are the first chunk.
+    first = F.timestamp_micros(F.lit(-2 ** 63))
+    chunk = F.when(F.col("_shards").isNotNull(), F.coalesce(F.date_trunc(period, time), first))
     data = df.join(hot, keys, "left").withColumn(CHUNK, chunk).drop("_shards")
     added = compute(Window.partitionBy(*keys, CHUNK).orderBy(*forth))
     return (

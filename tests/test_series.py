@@ -69,3 +69,14 @@ def test_row_limits(history, salts):
     expected = df.withColumn("r", rank).where(
         F.col("r") <= F.when(F.col("interval") == "1d", 4).otherwise(2)).drop("r")
     assert collected(got) == collected(expected)
+
+
+@pytest.mark.parametrize("limit", [1, 3, 50])
+def test_chunks_with_null_times_and_symbols(history, limit):
+    gaps = history.withColumns({
+        "date": F.when(F.col("row_id") % 7 != 0, F.col("date")),
+        "symbol": F.when(F.col("row_id") % 11 != 0, F.col("symbol"))})
+    for compute in (lambda rows: series.rolling_avg(gaps, 5, ties=("row_id",), rows_per_task=rows),
+                    lambda rows: series.daily_return(gaps, ties=("row_id",), rows_per_task=rows),
+                    lambda rows: series.scd2(gaps, "symbol", "date", ties=("row_id",), rows_per_task=rows)):
+        assert collected(compute(limit)) == collected(compute(10_000))
