@@ -16,6 +16,7 @@ from tapeworks.functions import bands, market
 from tapeworks.operators.latest import newest
 from tapeworks.operators.skew import ROWS_PER_TASK, lookup_join
 
+# Columns of the fact table.
 FACT_COLUMNS = [
     "quote_id", "stock_id", "symbol", "quote_timestamp", "quote_date", "quote_hour",
     "day_of_week", "day_type", "price", "previous_close", "open", "high", "low", "change",
@@ -226,14 +227,18 @@ def news_sentiment_fact(news: DataFrame, dim: DataFrame,
     )
 
 
-def sector_performance(fact: DataFrame) -> DataFrame:
-    """Stocks, average change and volume per day and sector."""
+def sector_performance(measures: DataFrame, dim: DataFrame) -> DataFrame:
+    """Stocks, average change and volume per day and sector.
+
+    The sector is joined to one row per (day, symbol), so no quote is joined and nothing is distinct.
+    """
+    sectors = dim.where("sector is not null").select("symbol", "sector")
     return (
-        fact.where("sector is not null")
+        symbol_days(measures).join(sectors, "symbol")
         .groupBy("quote_date", "sector")
         .agg(
-            F.countDistinct("symbol").alias("stocks_in_sector"),
-            market.mean("change_percent").alias("sector_avg_change"),
+            F.count("*").alias("stocks_in_sector"),
+            _ratio("change_sum", "changes").alias("sector_avg_change"),
             F.sum("volume").alias("sector_volume"),
         )
     )

@@ -87,7 +87,7 @@ def test_performance_sector_and_news_facts(staged):
     assert {(str(r.date), r.market_sentiment) for r in marts.market_performance(fact).collect()} == {
         ("2024-01-01", "Bullish"), ("2024-01-02", "Bullish")}
     sectors = {(str(r.quote_date), r.sector): (r.stocks_in_sector, r.sector_volume)
-               for r in marts.sector_performance(fact).collect()}
+               for r in marts.sector_performance(fact, dim).collect()}
     assert sectors[("2024-01-02", "Other")] == (1, 11)
     facts = marts.news_sentiment_fact(news, dim).collect()
     assert [(r.symbol, r.sentiment_score) for r in facts] == [("N", 1)]

@@ -14,6 +14,7 @@ from tapeworks.session import shared_dir
 from tapeworks.sources.sinks import save_failures, write_table
 from workload.marts import AS_OF, dimension, fact
 from workload.registry import cte, query
+from workload.rules import banded
 from workload.views import view
 
 STAMP = int(AS_OF.replace(tzinfo=dt.timezone.utc).timestamp())
@@ -32,13 +33,10 @@ select *, cast(symbol <> '' as int) + cast(name <> '' as int)
   + cast(coalesce(exchange, '') <> '' as int) + cast(coalesce(sector, '') <> '' as int)
   + cast(coalesce(industry, '') <> '' as int) + cast(market_cap is not null as int)
   + cast(currency <> '' as int) as filled from clean_stocks""")
-ENRICHED = """
+ENRICHED = f"""
 select symbol, name, exchange, sector, industry, market_cap, currency,
   cast(filled as double) / present_fields as data_quality_score,
-  case when coalesce(market_cap, 0) = 0 then null
-    when market_cap >= 200000000000 then 'Mega Cap'
-    when market_cap >= 10000000000 then 'Large Cap' when market_cap >= 2000000000 then 'Mid Cap'
-    when market_cap >= 300000000 then 'Small Cap' else 'Micro Cap' end as market_cap_category,
+  case when market_cap <> 0 then {banded("market_cap", "market_cap", "<=")} end as market_cap_category,
   case when coalesce(sector, '') = '' then null
     when sector in ('Technology', 'Communication Services') then 'Growth'
     when sector in ('Healthcare', 'Consumer Staples', 'Real Estate', 'Utilities')

@@ -9,6 +9,7 @@ from tapeworks.operators import clean, readmodel, summary
 from tapeworks.plans import staging
 from workload.marts import rounded
 from workload.registry import cte, query
+from workload.rules import banded, sentiment
 from workload.views import view
 
 cte("priced", "select * from stg_quotes where is_valid_quote")
@@ -52,9 +53,9 @@ def sector_stats(spark, sf_dir):
 @query("""
 select count(*) as total_stocks, round(round(avg(price), 9), 6) + 0.0 as avg_price,
   round(avg(change_percent), 9) + 0.0 as avg_change_percent,
-  count(case when change_percent > 0 then 1 end) as gainers,
-  count(case when change_percent < 0 then 1 end) as losers,
-  count(case when change_percent = 0 then 1 end) as unchanged,
+  count(*) filter (change_percent > 0) as gainers,
+  count(*) filter (change_percent < 0) as losers,
+  count(*) filter (change_percent = 0) as unchanged,
   cast(sum(volume) as bigint) as total_volume,
   round(sum(market_cap), -6) + 0.0 as total_market_cap
 from quotes""")
@@ -71,10 +72,9 @@ def batch(spark, sf_dir):
     return summary.batch_quotes(quotes(spark, sf_dir, *BATCH), "quote_timestamp")
 
 
-@query("""
+@query(f"""
 select symbol, price, volume, change_percent, quote_timestamp, price * volume as dollar_volume,
-  case when change_percent > 2 then 'Strong Up' when change_percent > 0 then 'Up'
-    when change_percent > -2 then 'Sideways' else 'Down' end as price_trend,
+  {banded("trend_batch", "change_percent")} as price_trend,
   cast(extract(hour from quote_timestamp) as integer) as hour,
   strftime(quote_timestamp, '%Y-%m-%d') as date
 from quotes""")
@@ -93,18 +93,15 @@ def daily_symbol_agg(spark, sf_dir):
     return summary.daily_by_symbol(batch(spark, sf_dir))
 
 
-@query("""
+@query(f"""
 select strftime(quote_timestamp, '%Y-%m-%d') as date, count(symbol) as total_stocks,
   round(round(avg(price), 9), 7) + 0.0 as avg_price,
   round(avg(change_percent), 9) + 0.0 as avg_change_percent,
   cast(sum(volume) as bigint) as total_volume,
-  count(case when change_percent > 0 then 1 end) as gainers,
-  count(case when change_percent < 0 then 1 end) as losers,
-  case when count(case when change_percent > 0 then 1 end)
-      > count(case when change_percent < 0 then 1 end) then 'Bullish'
-    when count(case when change_percent < 0 then 1 end)
-      > count(case when change_percent > 0 then 1 end) then 'Bearish'
-    else 'Neutral' end as market_sentiment
+  count(*) filter (change_percent > 0) as gainers,
+  count(*) filter (change_percent < 0) as losers,
+  {sentiment('count(*) filter (change_percent > 0)', 'count(*) filter (change_percent < 0)')}
+    as market_sentiment
 from quotes group by 1""")
 def daily_market_summary(spark, sf_dir):
     return rounded(summary.daily_market(batch(spark, sf_dir)), avg_price=7)
@@ -173,8 +170,8 @@ def top_movers(spark, sf_dir):
 
 
 @query("""
-select date, count(*) as total_stocks, count(case when change_percent > 0 then 1 end) as gainers,
-  count(case when change_percent < 0 then 1 end) as losers,
+select date, count(*) as total_stocks, count(*) filter (change_percent > 0) as gainers,
+  count(*) filter (change_percent < 0) as losers,
   round(avg(change_percent), 9) + 0.0 as avg_change, cast(sum(volume) as bigint) as total_volume
 from dated where date = (select max(date) from dated) group by date""")
 def latest_day_summary(spark, sf_dir):
