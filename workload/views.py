@@ -174,12 +174,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Work on a few test files with all cores; tables of many splits are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def view(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """The view, or some of its columns; a join that feeds none of them is left out.
 
@@ -187,8 +181,6 @@ def view(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     """
     expressions, base, join = VIEWS[name]
     df = table(spark, sf_dir, base)
-    if columns is None and name == "quotes":
-        df = spread(df, "l_orderkey")
     columns = columns or list(expressions)
     if join and any(re.search(r"\bp_", expressions[c]) for c in columns):
         other = table(spark, sf_dir, join[0])
