@@ -208,16 +208,18 @@ def ngram_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: flo
     edges = stars.select("a", F.col("m").alias("b")).union(
         stars.select(F.explode("bs").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b")))
     parts = components(edges.distinct(), "ngram-parts")
-    sizes = parts.groupBy("root").agg(F.count("*").alias("size"))
+    # Stored, so that a join sees a plain table: small ones are broadcast, a hot root can be split.
+    sizes = stored(parts.groupBy("root").agg(F.count("*").alias("size")), "ngram-sizes")
     members = stored(
         parts.join(sizes, "root").withColumn("chunks", F.ceil(F.col("size") / block).cast("int"))
         .select(F.col("node").alias("key"), "root", "chunks",
                 F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")), "ngram-members")
 
-    # Each text once: the row of its smallest id, one of them if that has several.
-    texts = (given.join(members.join(classes.select("key", "first"), "key"), "key")
-             .where(F.col("doc_id").eqNullSafe(F.col("first.doc_id")))
-             .select("key", "root", "chunks", "chunk", "text"))
+    # Each text once: the row of its smallest id, one of them if that has several. The id is a key of the
+    # join, so many copies of a text do not meet.
+    chosen = members.join(classes.select("key", F.col("first.doc_id").alias("first_id")), "key")
+    texts = (given.join(chosen, (given["key"] == chosen["key"]) & given["doc_id"].eqNullSafe(chosen["first_id"]))
+             .select(chosen["key"], "root", "chunks", "chunk", "text"))
 
     def gather(batches):
         shingles = Shingles(n)
@@ -250,10 +252,10 @@ def ngram_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: flo
     linked = components(verified.where(F.col("key") != F.col("near"))
                         .select(F.col("key").alias("a"), F.col("near").alias("b")).distinct(), "ngram-groups")
     linked = linked.withColumnsRenamed({"node": "key", "root": "part"})
-    firsts = (linked.join(classes.select("key", "first"), "key").groupBy("part")
-              .agg(F.min("first").alias("group_first")))
-    known = (classes.drop("bands").join(counts, "key", "left").join(linked, "key", "left")
-             .join(firsts, "part", "left"))
+    firsts = stored(linked.join(classes.select("key", "first"), "key").groupBy("part")
+                    .agg(F.min("first").alias("group_first")), "ngram-firsts")
+    known = (classes.drop("bands").join(counts, "key", "left")
+             .join(linked.join(firsts, "part").drop("part"), "key", "left"))
     known = stored(known.select(
         "key", F.col("first.doc_id").alias("class_id"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.when(F.col("group_first").isNull(), F.col("first.doc_id")).otherwise(F.col("group_first.doc_id"))
