@@ -8,10 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeworks.llm.common import stored
 
-LISTS = "u long, v array<long>, s array<float>"
+LISTS = "u long, v array<long>, s array<double>"
 
 
 def _groups(batches, key: list[str]):
@@ -35,16 +36,14 @@ def _groups(batches, key: list[str]):
         yield pa.Table.from_batches(held)
 
 
-def _pack(vectors: np.ndarray) -> list[bytes]:
-    """Vectors as a 32-bit scale and 8-bit components, for the graph; results use the originals."""
-    scale = np.maximum(np.abs(vectors).max(axis=1, initial=0), 1e-30) / 127
-    small = np.round(vectors / scale[:, None]).astype(np.int8)
-    return [a.tobytes() + b.tobytes() for a, b in zip(scale.astype("<f4"), small)]
+def _pack(vectors: np.ndarray, kind: str) -> list[bytes]:
+    """Vectors as bytes in the precision of the input, so that no near copies become equal."""
+    return [x.tobytes() for x in vectors.astype(kind)]
 
 
-def _unpack(column: pa.ChunkedArray) -> np.ndarray:
-    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
-    return raw[:, 4:].view(np.int8).astype(np.float32) * np.ascontiguousarray(raw[:, :4]).view("<f4")
+def _unpack(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    """Packed vectors for products in double precision."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1).astype(np.float64)
 
 
 def _numbers(table: pa.Table, name: str) -> np.ndarray:
@@ -56,7 +55,7 @@ def _lists(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     flat = lambda k, kind: pa.array(np.concatenate([r[k] for r in rows]).astype(kind))
     return pa.record_batch([pa.array([r[0] for r in rows], pa.int64()),
                             pa.ListArray.from_arrays(offsets, flat(1, np.int64)),
-                            pa.ListArray.from_arrays(offsets, flat(2, np.float32))], ["u", "v", "s"])
+                            pa.ListArray.from_arrays(offsets, flat(2, np.float64))], ["u", "v", "s"])
 
 
 def _in_batches(rows, size: int = 2000):
@@ -121,7 +120,7 @@ def distinct_vectors(vectors: DataFrame, vec_id: str, vector: str, copies: int)
 
 
 def neighbour_graph(packed: DataFrame, k: int, rounds: int, members: int, emit: int, tables: int, leaf: int,
-                    seed: int) -> tuple[DataFrame, DataFrame]:
+                    seed: int, kind: str) -> tuple[DataFrame, DataFrame]:
     """NN-descent over (nid, packed): neighbour lists (u, v, s), and links (center, member) both ways.
 
     The first lists come from random hyperplanes: in each of ``tables``, nodes on the same sides of all
@@ -135,7 +134,7 @@ def neighbour_graph(packed: DataFrame, k: int, rounds: int, members: int, emit:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _unpack(pa.chunked_array([batch.column(1)]))
+            x = _unpack(pa.chunked_array([batch.column(1)]), kind)
             for table in range(tables):
                 planes = np.random.default_rng([seed, table]).standard_normal((x.shape[1], max(1, depth)))
                 bits = (x @ planes > 0) @ (1 << np.arange(max(1, depth)))
@@ -153,7 +152,7 @@ def neighbour_graph(packed: DataFrame, k: int, rounds: int, members: int, emit:
     def compare(batches):
         def rows():
             for table in _groups(batches, key):
-                yield from _best_pairs(_numbers(table, "nid"), _unpack(table.column("packed")), None, k)
+                yield from _best_pairs(_numbers(table, "nid"), _unpack(table.column("packed"), kind), None, k)
         return _in_batches(rows())
 
     lists = placed.repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, LISTS)
@@ -162,13 +161,13 @@ def neighbour_graph(packed: DataFrame, k: int, rounds: int, members: int, emit:
         links = _links(graph, members)
         held = links.join(packed.withColumnRenamed("nid", "member"), "member")
         limits = graph.select(F.col("u").alias("member"), F.when(F.size("s") >= k, F.element_at("s", -1))
-                              .otherwise(F.lit(float("-inf"))).cast("float").alias("least"))
+                              .otherwise(F.lit(float("-inf"))).alias("least"))
         held = held.join(limits, "member")
 
         def join(batches):
             def rows():
                 for table in _groups(batches, ["center"]):
-                    yield from _best_pairs(_numbers(table, "member"), _unpack(table.column("packed")),
+                    yield from _best_pairs(_numbers(table, "member"), _unpack(table.column("packed"), kind),
                                            _numbers(table, "least"), emit)
             return _in_batches(rows())
 
@@ -188,7 +187,7 @@ def _links(graph: DataFrame, members: int) -> DataFrame:
 
 
 def greedy_search(packed: DataFrame, links: DataFrame, graph: DataFrame, queries: DataFrame, beam: int,
-                  wide: int, rounds: int) -> DataFrame:
+                  wide: int, rounds: int, kind: str) -> DataFrame:
     """Best nodes of each query node: u, v, s. ``queries`` has nid; a query is a node of the graph.
 
     A beam starts with the query's own neighbours. Each round opens the ``wide`` nearest nodes of the
@@ -207,7 +206,7 @@ def greedy_search(packed: DataFrame, links: DataFrame, graph: DataFrame, queries
         reached = front.join(links, "center").select("u", "member").distinct().where(F.col("u") != F.col("member"))
         scored = reached.join(vectors, "member").select(
             "u", "member", "candidate", F.lit(None).cast("array<long>").alias("v"),
-            F.lit(None).cast("array<float>").alias("s"), F.lit(None).cast("array<long>").alias("open"))
+            F.lit(None).cast("array<double>").alias("s"), F.lit(None).cast("array<long>").alias("open"))
         own = (state.join(packed.select(F.col("nid").alias("u"), "packed"), "u").join(opened, "u")
                .select("u", F.lit(None).cast("long").alias("member"), F.col("packed").alias("candidate"), "v", "s",
                        F.concat("open", "now").alias("open")))
@@ -217,18 +216,18 @@ def greedy_search(packed: DataFrame, links: DataFrame, graph: DataFrame, queries
                 member = table.column("member")
                 mine = member.is_null().to_numpy()
                 k = int(np.flatnonzero(mine)[0])
-                x = _unpack(table.column("candidate"))
+                x = _unpack(table.column("candidate"), kind)
                 near = x[~mine] @ x[k]
                 old = np.array(table.column("v")[k].as_py(), np.int64)
                 v = np.r_[old, member.drop_null().to_numpy()]
-                s = np.r_[np.array(table.column("s")[k].as_py(), np.float32), near].astype(np.float32)
+                s = np.r_[np.array(table.column("s")[k].as_py(), np.float64), near]
                 v, first = np.unique(v, return_index=True)
                 s = s[first]
                 order = np.lexsort((v, -s))[:beam]
                 opened = table.column("open")[k].as_py()
                 yield pa.record_batch([pa.array([table.column("u")[0].as_py()]),
                                        pa.array([v[order].tolist()], pa.list_(pa.int64())),
-                                       pa.array([s[order].tolist()], pa.list_(pa.float32())),
+                                       pa.array([s[order].tolist()], pa.list_(pa.float64())),
                                        pa.array([opened], pa.list_(pa.int64()))], ["u", "v", "s", "open"])
 
         # Distinct beams meet their candidates by the query, all of bounded number.
@@ -250,6 +249,8 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, top: int = 20, k: i
     come back at the end, so copies cost nothing and none is lost. ``members``, ``emit``, ``beam`` and
     ``wide`` bound the work per node and make the search approximate; recall is measured in the tests.
     """
+    # The precision that holds the given components unrounded.
+    kind = "<f4" if vectors.schema[vector].dataType.elementType == T.FloatType() else "<f8"
     nodes, same = distinct_vectors(vectors, vec_id, vector, top + 1)
     nodes, same = stored(nodes, "nodes"), stored(same, "node-ids")
 
@@ -257,7 +258,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, top: int = 20, k: i
         for batch in batches:
             if batch.num_rows:
                 x = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
-                yield pa.record_batch([batch.column(0), pa.array(_pack(x), pa.binary())], ["nid", "packed"])
+                yield pa.record_batch([batch.column(0), pa.array(_pack(x, kind), pa.binary())], ["nid", "packed"])
 
     packed = stored(nodes.select("nid", "vector").mapInArrow(pack, "nid long, packed binary"), "packed")
     asked = stored(vectors.where(is_query).select(vectors[vec_id].alias("query_id"),
@@ -265,12 +266,13 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, top: int = 20, k: i
                                                                          lambda x: x + F.lit(0.0))).alias("nid"))
                    .where(F.col("query_id").isNotNull()).distinct()
                    .join(nodes.select("nid"), "nid", "left_semi"), "queries")
-    graph, links = neighbour_graph(packed, k, rounds, members, emit, tables, leaf, seed)
+    graph, links = neighbour_graph(packed, k, rounds, members, emit, tables, leaf, seed, kind)
     single = packed.select(F.col("nid").alias("u")).join(graph.select("u"), "u", "left_anti").select(
-        "u", F.array().cast("array<long>").alias("v"), F.array().cast("array<float>").alias("s"))
+        "u", F.array().cast("array<long>").alias("v"), F.array().cast("array<double>").alias("s"))
     found = greedy_search(packed, links, graph.unionByName(single), asked.select("nid").distinct(), beam, wide,
-                          search_rounds)
-    pairs = found.select("u", F.explode(F.concat(F.array("u"), F.slice("v", 1, 3 * top))).alias("v"))
+                          search_rounds, kind)
+    # The whole beam is scored again, in the order of the components: products in blocks differ in last bits.
+    pairs = found.select("u", F.explode(F.concat(F.array("u"), "v")).alias("v"))
     exact = (pairs.join(nodes.select(F.col("nid").alias("u"), F.col("vector").alias("x")), "u")
              .join(nodes.select(F.col("nid").alias("v"), F.col("vector").alias("y")), "v")
              .select("u", "v", F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0),

@@ -236,6 +236,22 @@ def test_nearest_neighbours(spark, case):
     assert nearest_neighbours(df.limit(0), df["vec_id"] % 20 == 0).count() == 0
 
 
+def test_nearest_neighbours_of_near_copies(spark):
+    """Vectors of one group, whose differences lie below the step of 8-bit components."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal(32) + 0.01 * rng.standard_normal((1200, 32))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)],
+                               "vec_id long, embedding array<float>")
+    got = collections.defaultdict(set)
+    for r in nearest_neighbours(df, df["vec_id"] % 40 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    score = x[::40].astype(float) @ x.T.astype(float)
+    score[np.arange(30), np.arange(30) * 40] = -np.inf
+    hits = sum(len(got[40 * k] & set(np.argsort(-s)[:20].tolist())) for k, s in enumerate(score))
+    assert hits >= 0.95 * 20 * 30
+
+
 def _groups(texts: dict) -> dict:
     """doc -> (class, copies, links, group) by all pairs."""
     sets = {}
