@@ -41,11 +41,16 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Of equal rows one stays. Rows without an id stay if no other row of their group has one.
+    Of equal rows one stays. Rows without an id come last; an id that several texts share names each of them
+    together with its text.
     """
-    groups = ngram_join(docs).select("doc_id", "group_id").distinct()
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("group_id"))).select(F.col("doc_id").alias("kept_id"))
-    return (docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    # Nullable like what is read back, so that both have one type.
+    none = F.nullif(F.col("doc_id").isNull(), F.lit(None).cast("boolean"))
+    named = docs.withColumn("doc_id", F.struct(none.alias("none"), "doc_id", F.md5("text").alias("key")))
+    groups = ngram_join(named).where(F.col("doc_id").eqNullSafe(F.col("group_id")))
+    kept = groups.select(F.col("doc_id.doc_id").alias("kept_id"), F.col("doc_id.key").alias("kept_key")).distinct()
+    return (docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"])
+                      & F.md5(docs["text"]).eqNullSafe(kept["kept_key"]), "left_semi")
             .select(*COLUMNS).dropDuplicates(["doc_id", "text"]))
 
 
@@ -55,10 +60,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document at the edge of a source's share is taken in part; it comes once for the part if that is
     half of it or more.
     """
-    taken = mixture(docs).where(F.col("size") > 0).select(
-        F.col("doc_id").alias("t_id"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("times"))
-    taken = stored(taken.where("times > 0").groupBy("t_id").agg(F.max("times").alias("times")), "mix-times")
-    return (docs.where(F.col("text").rlike(WORD)).join(taken, docs["doc_id"].eqNullSafe(taken["t_id"]))
+    keyed = docs.withColumn("key", F.md5("text"))
+    others = [c for c in COLUMNS if c not in ("doc_id", "text", "source")]
+    taken = mixture(keyed, keep=("key", *others)).where(F.col("size") > 0).withColumn(
+        "times", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int"))
+    # Equal rows are taken each as often as its own place says, together the sum.
+    names = ["doc_id", "key", "source", *others]
+    taken = taken.where("times > 0").groupBy(*[F.col(c).alias(f"t_{c}") for c in names]).agg(
+        F.sum("times").cast("int").alias("times"))
+    taken = stored(taken, "mix-times")
+    one = keyed.where(F.col("text").rlike(WORD)).dropDuplicates(names)
+    return (one.join(taken, [one[c].eqNullSafe(taken[f"t_{c}"]) for c in names])
             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS))
 
 

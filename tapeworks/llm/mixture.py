@@ -70,7 +70,8 @@ def sainte_lague(parties: DataFrame, group: Sequence[str], votes: str, seats: st
 
 def mixture(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: int = 3, share: float = 1.0,
             seed: int = 17, block: int = 8, shards: int = 8, bucket_docs: int = 20_000,
-            doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+            doc_id: str = "doc_id", text: str = "text", source: str = "source",
+            keep: Sequence[str] = ()) -> DataFrame:
     """Words that the mix takes of each document: doc_id, size, source_size, target, taken.
 
     Each source's documents stand in a seeded order, dealt over ``shards``, and each shard's words are
@@ -82,12 +83,13 @@ def mixture(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: int = 3
     Rows keep their number. NULL and empty texts have size 0 and give nothing; NULL sources are one
     source; rows with equal id and text stand side by side; an empty table gives an empty result; other
     columns are ignored. Positions are sums within ranges of ``bucket_docs`` documents plus sums over
-    ranges, so a source with a third of all rows fills no task. Reruns agree.
+    ranges, so a source with a third of all rows fills no task. Reruns agree. Columns named in ``keep``
+    come along.
     """
     sized = stored(
         docs.select(docs[doc_id].alias("doc_id"), docs[source].alias("source"),
                     word_count(docs[text]).alias("size"),
-                    F.xxhash64(F.lit(seed), docs[doc_id], docs[text]).alias("h"))
+                    F.xxhash64(F.lit(seed), docs[doc_id], docs[text]).alias("h"), *[docs[c] for c in keep])
         .withColumn("shard", F.pmod(F.xxhash64(F.col("h"), F.lit(seed)), F.lit(shards)).cast("int")),
         "mixture-sizes")
     supply = stored(sized.groupBy("source", "shard").agg(F.sum("size").alias("words"),
@@ -139,7 +141,7 @@ def mixture(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: int = 3
     return placed.select(
         "doc_id", "size", "source_size", "target",
         (F.col("size") * F.col("rounds") + _overlap(start, start + F.col("size"), block)).cast("long")
-        .alias("taken"), "source")
+        .alias("taken"), "source", *keep)
 
 
 def _overlap(start: Column, end: Column, block: int) -> Column:

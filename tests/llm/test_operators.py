@@ -346,6 +346,26 @@ def test_pipeline_stages(spark, docs, empty):
         assert stage(spark, df, "").count() == 0
 
 
+def test_pipeline_repeated_and_missing_ids(spark):
+    """Ids that several texts share, or none, with near copies of an earlier text among them."""
+    rng = random.Random(8)
+    prose = lambda: [f"w{rng.randint(0, 10**6)}" for _ in range(100)]
+    a, b, c = prose(), prose(), prose()
+    near = lambda words: " ".join(words[:50] + ["x"] + words[51:])
+    a1, b1, c1 = map(" ".join, (a, b, c))
+    rows = [(1, a1), (2, near(a)), (2, b1), (None, c1), (None, near(b)), (None, near(c))]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, df, "").collect()]
+    assert set(got) >= {(1, a1), (2, b1)} and len(got) == 3 and got.count((None, near(b))) == 0
+    # One source's documents share an id with those of another one; each source keeps its own share.
+    rows = [(i % 4, " ".join(prose()), "en", f"s{i % 3}", 0) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = collections.Counter()
+    for r in mixture(df).collect():
+        want[r.source] += int(r.taken / r.size + 0.5)
+    assert want == collections.Counter(r.source for r in corpus_pipeline.mix_sources(spark, df, "").collect())
+
+
 def test_registered_queries(spark):
     import __spark_entry__ as entry
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
