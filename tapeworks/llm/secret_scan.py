@@ -29,12 +29,15 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 ALLOWED = tuple(re.compile(p) for p in (
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"(?i)(sha(1|224|256|384|512)|md5)[-_=][0-9A-Za-z+/]+={0,2}",
-    r"[A-Za-z]+([-_/][A-Za-z]+)+",
+    r"([A-Z]?[a-z]+|[A-Z]+)([-_/]+([A-Z]?[a-z]+|[A-Z]+))+",
+    r"[A-Z]?[a-z]{2,}([A-Z][a-z]{2,})+",
     r"(?i)abcdefghijklmnopqrstuvwxyz[0-9]*|0123456789[0-9a-f]*",
 ))
 # Character classes, the first that holds all characters counts: class, window, least bits per character.
 CLASSES = (
     ("hex", re.compile(r"[0-9a-f]+|[0-9A-F]+"), 20, 3.0),
+    # Words and names have no digit either, so such strings must be more random.
+    ("letters", re.compile(r"[A-Za-z+/_=-]+"), 20, 3.8),
     ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 20, 3.8),
 )
 
@@ -65,8 +68,7 @@ def entropy_spans(text: str) -> list[tuple[int, int]]:
     spans = []
     for match in CANDIDATE.finditer(text):
         value = match.group()
-        # Random strings mix digits with letters; a long word does not.
-        if value.isalpha() or not any(map(str.isdigit, value)) or value.isdigit():
+        if value.isdigit():
             continue
         if any(p.fullmatch(value) for p in ALLOWED):
             continue

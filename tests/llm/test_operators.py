@@ -165,6 +165,12 @@ def test_secret_scan(docs, empty):
     assert entropy_spans("incomprehensibilities-and-antidisestablishmentarianism " + "ab12" * 10) == []
 
 
+def test_secrets_of_letters_only():
+    for key in ("qZrXLkTwPvNmBsHdGyJc", "qZrXLk+TwPvNm/BsHdGyJcAe=="):
+        assert entropy_spans(f"key {key} end")
+    assert entropy_spans("antidisestablishmentarianism getElementsByTagNames some/path/to_another-file_name") == []
+
+
 def test_weak_quality(spark, docs, empty):
     rows = weak_quality(docs).collect()
     assert len(rows) == docs.count() and weak_quality(empty).count() == 0
