@@ -47,7 +47,7 @@ def entropy_windows(text: str, width: int, least: float) -> tuple[int, int] | No
 
     The sum of n log2 n over character counts n changes by two terms when the window moves by one.
     """
-    terms = [0.0] + [n * math.log2(n) for n in range(1, width + 1)]
+    terms = [0.0] + [n * math.log2(n) for n in range(1, width + 2)]
     counts: dict[str, int] = {}
     total, limit, first, last = 0.0, width * (math.log2(width) - least), -1, -1
     for at, char in enumerate(text):

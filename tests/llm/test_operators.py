@@ -168,6 +168,7 @@ def test_secret_scan(docs, empty):
 def test_secrets_of_letters_only():
     for key in ("qZrXLkTwPvNmBsHdGyJc", "qZrXLk+TwPvNm/BsHdGyJcAe=="):
         assert entropy_spans(f"key {key} end")
+    assert entropy_spans("x" * 3000 + " 1" + "a" * 40) == []
     assert entropy_spans("antidisestablishmentarianism getElementsByTagNames some/path/to_another-file_name") == []
 
 
