@@ -120,8 +120,118 @@ SELECT doc_id, coalesce(len(lines), 0)::INTEGER AS n_lines, coalesce(len(gone),
 FROM keyed LEFT JOIN gone USING (doc)
 """
 
+_FIELDS = " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in (
+    "doc_id", "source", "lang", "{n_chars}", "text"))
+# The CRC of a text of digits, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(d) + 1), lambda i: ascii(d[i])::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                           lambda x, y: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT)"""
+
+# Whole levels are built at once, and each leaf is folded step by step.
+MERKLE = f"""
+WITH RECURSIVE drawn AS (
+  SELECT row_number() OVER () AS r, *, doc_id::VARCHAR AS d FROM documents),
+hashed AS (
+  SELECT r, doc_id, coalesce('=' || lang, '') AS tree, sha256({_FIELDS.replace("{n_chars}", "n_chars")}) AS leaf,
+         CASE WHEN {_CRC} % 7 = 0 THEN sha256({_FIELDS.replace("{n_chars}", "(n_chars + 1)")})
+              ELSE sha256({_FIELDS.replace("{n_chars}", "n_chars")}) END AS claim
+  FROM drawn),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS j,
+         count(*) OVER (PARTITION BY tree) AS c FROM hashed),
+nodes AS (
+  SELECT tree, 0 AS h, j, c, leaf AS node FROM placed
+  UNION ALL
+  SELECT tree, h + 1, j // 2, (c + 1) // 2, sha256(string_agg(node, '' ORDER BY j)) FROM nodes
+  WHERE c > 1 GROUP BY tree, h, c, j // 2),
+subroots AS (
+  SELECT tree, node AS subroot, h AS tall, row_number() OVER (ORDER BY tree) - 1 AS k, count(*) OVER () AS c
+  FROM nodes WHERE c = 1),
+crown AS (
+  SELECT 0 AS h, k, c, subroot AS node FROM subroots
+  UNION ALL
+  SELECT h + 1, k // 2, (c + 1) // 2, sha256(string_agg(node, '' ORDER BY k)) FROM crown
+  WHERE c > 1 GROUP BY h, c, k // 2),
+path AS (
+  SELECT p.r, s.h AS step, o.node AS other, o.j < s.j AS before
+  FROM placed p JOIN nodes s ON s.tree = p.tree AND s.j = p.j >> s.h AND s.c > 1
+  LEFT JOIN nodes o ON o.tree = s.tree AND o.h = s.h AND o.j = xor(s.j, 1)
+  UNION ALL
+  SELECT p.r, t.tall + s.h, o.node, o.k < s.k
+  FROM placed p JOIN subroots t ON t.tree = p.tree JOIN crown s ON s.k = t.k >> s.h AND s.c > 1
+  LEFT JOIN crown o ON o.h = s.h AND o.k = xor(s.k, 1)),
+folded AS (
+  SELECT r, 0 AS step, claim AS node FROM placed
+  UNION ALL
+  SELECT f.r, f.step + 1, sha256(CASE WHEN p.other IS NULL THEN f.node WHEN p.before THEN p.other || f.node
+                                      ELSE f.node || p.other END)
+  FROM folded f JOIN path p ON p.r = f.r AND p.step = f.step),
+proofs AS (SELECT r, string_agg(other, '' ORDER BY step) AS others FROM path GROUP BY r)
+SELECT doc_id, leaf, subroot, root.node AS root, sha256(coalesce(others, '')) AS proof_sha256,
+       ends.node AS folded_root, ends.node = root.node AS verified
+FROM placed JOIN subroots USING (tree) LEFT JOIN proofs USING (r)
+JOIN (SELECT r, arg_max(node, step) AS node FROM folded GROUP BY r) ends USING (r)
+JOIN (SELECT node FROM crown WHERE c = 1) root ON true
+"""
+
+WARC = """
+WITH paged AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+placed AS (
+  SELECT *, row_number() OVER s AS place, first_value(page_id) OVER s AS first
+  FROM paged WINDOW s AS (PARTITION BY payload ORDER BY page_id NULLS LAST))
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN first END AS refers_to
+FROM placed
+"""
+
+# A stretch of 3q equal pairs q words apart holds three multiples of q in a row; where three such pairs are
+# equal, all pairs at that distance are compared.
+PERIODIC = rf"""
+WITH drawn AS (
+  SELECT row_number() OVER () AS r, doc_id, doc_id::VARCHAR AS d,
+         regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+hashed AS (SELECT r, doc_id, w, len(w) AS n, {_CRC} AS h FROM drawn),
+planned AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a, 3 + (h // 10) % 8 AS parts FROM hashed),
+words AS (
+  SELECT r, i, w[CASE WHEN i < a OR a IS NULL THEN i ELSE a + (i - a) % (1 + (n - a) // parts) END + 1] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM planned)),
+lattice AS (
+  SELECT r, q, unnest(range(n // q)) AS k FROM (SELECT r, n, unnest(range(1, n // 4 + 1)) AS q FROM planned)),
+anchors AS (
+  SELECT q, l.r, k FROM lattice l JOIN words x ON x.r = l.r AND x.i = k * q JOIN words y ON y.r = l.r AND y.i = k * q + q
+  WHERE x.word = y.word),
+periods AS (
+  SELECT DISTINCT a.r, a.q FROM anchors a JOIN anchors b ON b.r = a.r AND b.q = a.q AND b.k = a.k + 1
+  JOIN anchors c ON c.r = a.r AND c.q = a.q AND c.k = a.k + 2),
+same AS (
+  SELECT p.r, q, x.i, x.i - row_number() OVER (PARTITION BY p.r, q ORDER BY x.i) AS part
+  FROM periods p JOIN words x ON x.r = p.r JOIN words y ON y.r = x.r AND y.i = x.i + q AND y.word = x.word),
+stretches AS (
+  SELECT r, q, min(i) AS start, count(*) + q AS length FROM same GROUP BY r, q, part
+  HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT r, start, length, min(q) AS period FROM stretches GROUP BY r, start, length),
+told AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+         arg_max({{'start': start, 'length': length, 'period': period}}, [length, -start, -period]) AS best
+  FROM runs GROUP BY r),
+dropped AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT w.r, string_agg(word, ' ' ORDER BY w.i) AS collapsed
+  FROM words w LEFT JOIN dropped x ON x.r = w.r AND x.i = w.i WHERE x.i IS NULL GROUP BY w.r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start::BIGINT AS start, best.length::BIGINT AS length,
+       best.period::BIGINT AS period, (1000 * best.length // best.period)::BIGINT AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM planned LEFT JOIN told USING (r) LEFT JOIN kept USING (r)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": QUALITY_RULES,
     "op9_ngram_join": NGRAM_JOIN,
     "op10_line_dedup": LINE_DEDUP,
+    "op11_merkle_manifest": MERKLE,
+    "op12_warc": WARC,
+    "op13_periodic_runs": PERIODIC,
 }

@@ -34,13 +34,17 @@ def folder(spark, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("documents"))
     (spark.createDataFrame(_documents(), "doc_id LONG, text STRING, lang STRING, source STRING, n_chars INT")
      .coalesce(1).write.parquet(f"{out}/documents.parquet"))
+    pages = [(None if i is None else i % 90, None if i is None else f"http://x/{i}", t) for i, t, *_ in _documents()]
+    (spark.createDataFrame(pages, "page_id LONG, url STRING, html STRING")
+     .coalesce(1).write.parquet(f"{out}/pages.parquet"))
     return out
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_equals_sql(spark, folder, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{folder}/documents.parquet/*.parquet'")
+    for table in ("documents", "pages"):
+        con.execute(f"create view {table} as select * from '{folder}/{table}.parquet/*.parquet'")
     theirs = con.sql(queries.ORACLE[name])
     ours = queries.QUERIES[name](spark, folder)
     assert sorted(ours.columns) == sorted(theirs.columns)
