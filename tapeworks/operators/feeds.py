@@ -22,8 +22,10 @@ CORRUPT, REJECTED = "_corrupt_record", "__rejected"
 
 
 class Parsed(NamedTuple):
+    """``tagged`` has all rows: those that are rejected with ``record`` and ``reason``, others without."""
     good: DataFrame
     rejects: DataFrame
+    tagged: DataFrame
 
 
 def _is_text(kind: str) -> bool:
@@ -116,12 +118,12 @@ def split(df: DataFrame, columns: dict[str, Column], times: dict[str, Column], r
         [F.col(f"_text_{n}").isNotNull() & F.col(f"_{n}").isNull() for n in times])
     reason = (F.when(F.col("_unreadable"), "unreadable document")
               .when(missing, "missing required field").otherwise("value of wrong type"))
-    unfit = unfit | F.col("_unreadable")
+    wrong = missing | unfit | F.col("_unreadable")
+    fields = [*keep, *[F.col(f"_{n}").alias(n) for n in columns]]
+    told = [F.col("_record").alias("record"), reason.alias("reason")]
     return Parsed(
-        cast.where(~(missing | unfit)).select(*keep, *[F.col(f"_{n}").alias(n) for n in columns]),
-        cast.where(missing | unfit).select(
-            *keep, F.col("_record").alias("record"), reason.alias("reason")),
-    )
+        cast.where(~wrong).select(*fields), cast.where(wrong).select(*keep, *told),
+        cast.select(*fields, *[F.when(wrong, c).alias(n) for c, n in zip(told, ("record", "reason"))]))
 
 
 # --- message envelopes ---------------------------------------------------------------------
@@ -150,8 +152,10 @@ def parse_envelope(messages: DataFrame, kind: str) -> Parsed:
     renames = {"stock_quote": {"timestamp": "quote_timestamp", "data_source": "source"},
                "market_screener": {"data_source": "source"},
                "stock_news": {"source": "news_source"}}[kind]
-    good = parsed.good.select(*head, *payload.fieldNames(), *tail).withColumnsRenamed(renames)
-    return Parsed(good, parsed.rejects)
+    columns = [*head, *payload.fieldNames(), *tail]
+    return Parsed(
+        parsed.good.select(*columns).withColumnsRenamed(renames), parsed.rejects,
+        parsed.tagged.select(*columns, "record", "reason").withColumnsRenamed(renames))
 
 
 def _is_time(kind: DataType) -> bool:
@@ -164,10 +168,10 @@ def _json_type(kind: DataType) -> str:
 
 
 def to_envelope(rows: DataFrame, data_type: str, job_id: str | Column, source: str,
-                sent_at: Column | None = None) -> DataFrame:
+                sent_at: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Keyed JSON messages (``key``, ``value``) of payload rows, ready for a topic.
 
-    NULL fields are left out of the JSON.
+    NULL fields are left out of the JSON. Columns of ``keep`` come along.
     """
     payload = [c for c in schemas.columns(schemas.PAYLOADS[data_type]) if c in rows.columns]
     job = F.lit(job_id) if isinstance(job_id, str) else job_id
@@ -179,7 +183,7 @@ def to_envelope(rows: DataFrame, data_type: str, job_id: str | Column, source: s
         F.struct(job.alias("job_id"), F.lit(source).alias("source")).alias("metadata"),
     )
     return rows.select(
-        F.col(schemas.TOPIC_KEYS[data_type]).alias("key"), F.to_json(message).alias("value"))
+        F.col(schemas.TOPIC_KEYS[data_type]).alias("key"), F.to_json(message).alias("value"), *keep)
 
 
 # --- provider responses --------------------------------------------------------------------
@@ -342,5 +346,8 @@ def normalize_modules(responses: DataFrame) -> Parsed:
         F.get_json_object(F.col("value").cast("string"), "$").isNull().alias("broken"))
     complete = F.col("symbol").isNotNull() & F.col("module_type").isNotNull()
     reason = F.when(F.col("broken"), "unreadable document").otherwise("missing required field")
-    return Parsed(df.where(complete & ~F.col("broken")).drop("record", "broken"),
-                  df.where(~complete | F.col("broken")).select("record", reason.alias("reason")))
+    wrong = ~complete | F.col("broken")
+    return Parsed(df.where(~wrong).drop("record", "broken"),
+                  df.where(wrong).select("record", reason.alias("reason")),
+                  df.select("symbol", "module_type", "data", F.when(wrong, F.col("record")).alias("record"),
+                            F.when(wrong, reason).alias("reason")))

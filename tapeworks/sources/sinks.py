@@ -103,8 +103,9 @@ def export_metrics(metrics: DataFrame, path: str) -> str:
 
 
 def write_stream(df: DataFrame, checkpoint: str, trigger: dict, path: str | None = None,
-                 sink: str = "parquet", name: str | None = None, **options: str) -> StreamingQuery:
-    """Start an append query with its own checkpoint.
+                 sink: str = "parquet", name: str | None = None, partition_by: Sequence[str] = (),
+                 **options: str) -> StreamingQuery:
+    """Start an append query with its own checkpoint, optionally in partitions.
 
     ``trigger`` is ``{"processingTime": "30 seconds"}`` or ``{"availableNow": True}``.
     """
@@ -115,6 +116,8 @@ def write_stream(df: DataFrame, checkpoint: str, trigger: dict, path: str | None
         writer = writer.option("path", path)
     if name is not None:
         writer = writer.queryName(name)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return writer.start()
 
 
