@@ -17,6 +17,17 @@ def responses(df: DataFrame, item: Column, *tags: str, under: str = "body") -> D
     return df.select(*tags, F.to_json(F.struct(F.array(item).alias(under))).alias("value"))
 
 
+# A topic or feed has so many partitions, by key.
+PARTITIONS = 16
+
+
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """The ``value`` texts as users have them: in files, one per line, written before they are parsed."""
+    path = f"{shared_dir(df.sparkSession, name)}/{name}"
+    df.select("value").write.text(path)
+    return df.sparkSession.read.text(path)
+
+
 def epoch(time: str) -> Column:
     return F.expr(f"timestampdiff(second, timestamp_ntz '1970-01-01 00:00:00', {time})")
 
@@ -38,7 +49,7 @@ where coalesce(volume, 0) % 13 <> 6 and cast(substr(job_id, 5) as bigint) % 17 <
 
 
 def quote_responses(spark, sf_dir):
-    df = view(spark, sf_dir, "quotes")
+    df = view(spark, sf_dir, "quotes").repartition(PARTITIONS, "symbol")
     item = F.struct(
         F.expr("case when cast(substr(job_id, 5) as bigint) % 17 <> 0 then symbol end").alias("symbol"),
         F.expr("case when volume % 3 = 0 then '' else name end").alias("longName"),
@@ -56,7 +67,7 @@ def quote_responses(spark, sf_dir):
         '"regularMarketPrice":"no price","regularMarketPreviousClose":')
     value = F.when(F.expr("coalesce(volume, 0) % 13 = 6"), F.replace("value", *unreadable))
     tagged = df.select("volume", F.to_json(F.struct(F.array(item).alias("body"))).alias("value"))
-    return tagged.select(value.otherwise(F.col("value")).alias("value"))
+    return landed(tagged.select(value.otherwise(F.col("value")).alias("value")), "quote-responses")
 
 
 @query(QUOTE_SQL)
@@ -156,8 +167,8 @@ select symbol, name, price, previous_close, volume, market_cap, change_percent,
 from quotes""")
 def envelope_roundtrip(spark, sf_dir):
     df = view(spark, sf_dir, "quotes").withColumnRenamed("quote_timestamp", "timestamp")
-    messages = feeds.to_envelope(df, "stock_quote", F.col("job_id"), "market_feed",
-                                 F.col("message_timestamp"))
+    messages = landed(feeds.to_envelope(df.repartition(PARTITIONS, "symbol"), "stock_quote", F.col("job_id"),
+                                        "market_feed", F.col("message_timestamp")), "stock-quotes")
     good = feeds.parse_envelope(messages, "stock_quote").good
     return ntz(good.drop("open", "high", "low", "pe_ratio", "dividend_yield", "change"),
                "quote_timestamp", "message_timestamp")
