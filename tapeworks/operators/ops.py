@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tapeworks.functions.market import mean, safe_ratio
-from tapeworks.operators.latest import newest
 
 # Alert thresholds and retention of the logs in days.
 SLOW_SECONDS = 300
@@ -152,12 +151,9 @@ def alert_rollup(alerts: DataFrame) -> DataFrame:
 
 def resolve(alerts: DataFrame, resolutions: DataFrame) -> DataFrame:
     """Alerts in their latest state, from the log of alerts and that of their resolutions."""
-    latest = resolutions.groupBy("alert_id").agg(newest("resolved_at").alias("r"))
-    return (
-        alerts.drop("resolved", "resolved_at").join(latest, "alert_id", "left")
-        .withColumns({"resolved": F.col("r").isNotNull(), "resolved_at": F.col("r.resolved_at")})
-        .drop("r")
-    )
+    latest = resolutions.groupBy("alert_id").agg(F.max("resolved_at").alias("resolved_at"), F.lit(True).alias("resolved"))
+    return (alerts.drop("resolved", "resolved_at").join(latest, "alert_id", "left")
+            .withColumn("resolved", F.coalesce("resolved", F.lit(False))))
 
 
 def keep_recent(log: DataFrame, as_of: dt.datetime, days: int, time: str = "created_at") -> DataFrame:

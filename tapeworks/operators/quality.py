@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeworks.operators.skew import ROWS_PER_TASK, lookup_join
 
 # Required fields by data type, status limits in percent, status weights.
 REQUIRED = {
@@ -197,12 +196,14 @@ def failing_accepted(df: DataFrame, column: str, values: list) -> DataFrame:
 
 
 def failing_relationship(child: DataFrame, column: str, parent: DataFrame,
-                         parent_column: str | None = None,
-                         rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
-    """Child rows whose key has no parent."""
-    keys = parent.select(F.col(parent_column or column).alias(column)).distinct()
-    known = child.where(F.col(column).isNotNull())
-    return lookup_join(known, keys, column, "left_anti", rows_per_task).select(*child.columns)
+                         parent_column: str | None = None) -> DataFrame:
+    """Child rows whose key has no parent.
+
+    Parents may repeat, which an anti join does not mind; so no aggregate stands in the way of the adaptive
+    skew join, which deals the rows of a hot child key over tasks by where they were read.
+    """
+    keys = parent.select(F.col(parent_column or column).alias(column))
+    return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti").select(*child.columns)
 
 
 # The tests declared on raw tables and models.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.functions import market
 from tapeworks.operators.clean import date_range
-from tapeworks.operators.latest import newest
+from tapeworks.operators.latest import newest_values
 
 LATEST_COLUMNS = ["price", "change_percent", "volume", "market_cap"]
 NEWS_COLUMNS = ["symbol", "title", "published_time", "sentiment_score", "news_category"]
@@ -39,9 +39,7 @@ def series(df: DataFrame, value: str = "price") -> DataFrame:
 
 def latest_prices(df: DataFrame, time: str = "date") -> DataFrame:
     """Last known value of each column per symbol, column by column."""
-    latest = df.groupBy("symbol").agg(*[
-        newest(time, c, where=F.col(c).isNotNull()).alias(c) for c in LATEST_COLUMNS])
-    return latest.select("symbol", *[F.col(f"{c}.{c}").alias(c) for c in LATEST_COLUMNS])
+    return newest_values(df, ["symbol"], time, LATEST_COLUMNS)
 
 
 def with_signed_change(df: DataFrame) -> DataFrame:
@@ -56,17 +54,17 @@ def top_movers(df: DataFrame, k: int = 5) -> DataFrame:
 def latest_day_summary(df: DataFrame) -> DataFrame:
     """Totals of the last date with data.
 
-    All days are summed (a few rows) and the last one is kept: one scan instead of two.
+    The last date is a subquery: on a table partitioned by date it prunes the scan to one partition.
     """
     change = F.col("change_percent")
-    days = df.groupBy("date").agg(
+    last = df.where(F.col("date") == df.agg(F.max("date")).scalar())
+    return last.groupBy("date").agg(
         F.count("*").alias("total_stocks"),
         market.gainers(change).alias("gainers"),
         market.losers(change).alias("losers"),
         market.mean(change).alias("avg_change"),
         F.sum("volume").alias("total_volume"),
     )
-    return days.where("date is not null").orderBy(F.desc("date")).limit(1)
 
 
 def pivot_change(df: DataFrame, column: str, values: list) -> DataFrame:

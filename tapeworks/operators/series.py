@@ -1,9 +1,9 @@
 """Time-series operators per symbol.
 
 A window over a whole symbol puts its history into one task. That is right for symbols of normal
-size. The history of a hot symbol (more than ``rows_per_task`` rows) is cut into chunks of time
-instead: each chunk borrows the few rows just before it (its halo), works, and gives back only
-its own rows. Hot symbols are found by a count per symbol when the operator is called.
+size. The histories of hot symbols (more than ``rows_per_task`` rows) are cut by position instead: sampled bounds
+over (symbol, time, ties) deal them to chunks of about half that many rows, wherever the times crowd. Each
+chunk borrows the few rows just before it (its halo), works, and gives back only its own rows.
 """
 
 from __future__ import annotations
@@ -12,32 +12,28 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
 
-from tapeworks.operators.skew import ROWS_PER_TASK, hot_keys
+from tapeworks.operators.latest import matching, prefixed
+from tapeworks.session import stored
 
+ROWS_PER_TASK = 5_000_000
 CHUNK, HALO = "_chunk", "_halo"
-# Chunk lengths, from long to short; dates stop at the day.
-PERIODS = ("year", "quarter", "month", "week", "day", "hour", "minute")
 
 Compute = Callable[[WindowSpec], dict[str, Column]]
 
 
-def _longest_period(rows: DataFrame, keys: list[str], time: str, limit: int) -> str:
-    """The longest period in which no key has more than ``limit`` rows, else the shortest."""
-    is_date = isinstance(rows.schema[time].dataType, DateType)
-    candidates = PERIODS[:PERIODS.index("day") + 1] if is_date else PERIODS
-    finest = rows.groupBy(*keys, F.date_trunc(candidates[-1], time).alias("_at")).agg(
-        F.count("*").alias("_n"))
-    periods = F.array(*[
-        F.struct(F.lit(p).alias("name"), F.date_trunc(p, "_at").alias("start")) for p in candidates])
-    sizes = (
-        finest.select(*keys, "_n", F.explode(periods).alias("_p"))
-        .groupBy(*keys, "_p").agg(F.sum("_n").alias("_n"))
-        .groupBy("_p.name").agg(F.max("_n").alias("_n")).collect()  # one row per period
-    )
-    fits = {row["name"] for row in sizes if row["_n"] <= limit}
-    return next((p for p in candidates if p in fits), candidates[-1])
+def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more rows than one task should get, and their number of rows ``_n``; stored.
+
+    A count with a map-side part, run when called. At most rows / rows_per_task keys are hot.
+    """
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_task)
+    return stored(counts, "hot-keys")
+
+
+def chunks(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """Rows with the number of their chunk of ``n``, in ``order``. Stored, since bounds are sampled anew each time."""
+    return stored(rows.repartitionByRange(n, *order).withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
 def windowed(df: DataFrame, keys: list[str], time: str, ties: tuple[str, ...], rows_before: int,
@@ -46,41 +42,41 @@ def windowed(df: DataFrame, keys: list[str], time: str, ties: tuple[str, ...], r
     """Add window columns that look back ``rows_before`` rows (ahead, with ``reverse``).
 
     ``time`` and ``ties`` must order the rows of a key without ties; NULL times come before all
-    others. ``compute`` gets a window per key, in that order, and must not look farther.
+    others, and rows with a NULL key are one group. ``compute`` gets a window per key, in that order, and
+    must not look farther.
     """
     if rows_before < 1:
         raise ValueError("rows_before must be at least 1")
     order = [F.col(time), *map(F.col, ties)]
     forth = [c.desc() if reverse else c.asc() for c in order]
+    plain = compute(Window.partitionBy(*keys).orderBy(*forth))
     hot = hot_keys(df, keys, rows_per_task)
-    if hot is None:
-        return df.withColumns(compute(Window.partitionBy(*keys).orderBy(*forth)))
-    period = _longest_period(df.join(hot, keys, "left_semi"), keys, time, rows_per_task)
-    # Rows without a time come first in order, so they are the first chunk.
-    first = F.timestamp_micros(F.lit(-2 ** 63))
-    chunk = F.when(F.col("_shards").isNotNull(), F.coalesce(F.date_trunc(period, time), first))
-    data = df.join(hot, keys, "left").withColumn(CHUNK, chunk).drop("_shards")
+    rows = hot.agg(F.sum("_n")).first()[0]
+    if rows is None:
+        return df.withColumns(plain)
+    known = prefixed(hot.select(*keys), keys)
+    cold = df.join(known, matching(keys), "left_anti").withColumns(plain)
+    data = chunks(df.join(known, matching(keys), "left_semi"), [*map(F.col, keys), *order],
+                  -(-2 * rows // rows_per_task))
     added = compute(Window.partitionBy(*keys, CHUNK).orderBy(*forth))
-    return (
+    return cold.unionByName(
         data.withColumn(HALO, F.lit(False))
         .unionByName(_halo(data, keys, order, rows_before, reverse).withColumn(HALO, F.lit(True)))
         .withColumns(added)
-        .where(~F.col(HALO)).select(*df.columns, *added)
-    )
+        .where(~F.col(HALO)).select(*df.columns, *added))
 
 
 def _halo(data: DataFrame, keys: list[str], order: list[Column], rows_before: int,
           reverse: bool) -> DataFrame:
     """Rows that a chunk borrows from the chunks before it, tagged with the borrowing chunk."""
     back = [c.asc() if reverse else c.desc() for c in order]
-    chunks = data.where(F.col(CHUNK).isNotNull())
     # The last rows of each chunk: row_number <= n is applied before the shuffle.
     tail_window = Window.partitionBy(*keys, CHUNK).orderBy(*back)
-    tails = (chunks.withColumn("_behind", F.row_number().over(tail_window))
+    tails = (data.withColumn("_behind", F.row_number().over(tail_window))
              .where(F.col("_behind") <= rows_before))
     # Which later chunks need a tail row: those reached before rows_before rows have gone by.
     # One row per key and chunk; a short chunk may lend to several.
-    sizes = chunks.groupBy(*keys, CHUNK).agg(F.count("*").alias("_size"))
+    sizes = data.groupBy(*keys, CHUNK).agg(F.count("*").alias("_size"))
     chunk_order = F.col(CHUNK).desc() if reverse else F.col(CHUNK).asc()
     by_chunk = Window.partitionBy(*keys).orderBy(chunk_order).rowsBetween(1, rows_before)
     following = sizes.withColumn("_next", F.collect_list(
@@ -93,7 +89,7 @@ def _halo(data: DataFrame, keys: list[str], order: list[Column], rows_before: in
         .where(F.col("_gap") < rows_before)
     )
     return (
-        tails.join(lent, [*keys, CHUNK])
+        tails.join(prefixed(lent, [*keys, CHUNK]), matching([*keys, CHUNK]))
         .where(F.col("_behind") + F.col("_gap") <= rows_before)
         .withColumn(CHUNK, F.col("_to")).select(*data.columns)
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.functions import bands, market
-from tapeworks.operators.latest import newest
+from tapeworks.operators.latest import newest_rows
 from tapeworks.operators.median import exact_median
 
 
@@ -118,11 +118,8 @@ def screener_lists(quotes: DataFrame, k: int = 25, time: str = "quote_timestamp"
     A symbol stands with its last quote of the day. All three lists come out of one ranking;
     ``row_number() <= k`` cuts each list before it is shuffled.
     """
-    last = (
-        quotes.groupBy(F.to_date(time).alias("date"), "symbol")
-        .agg(newest(time, "price", "change_percent", "volume").alias("q"))
-        .select("date", "symbol", "q.price", "q.change_percent", "q.volume")
-    )
+    days = quotes.select(F.to_date(time).alias("date"), "symbol", time, "price", "change_percent", "volume")
+    last = newest_rows(days, ["date", "symbol"], time).drop(time)
     scores = F.array(*[
         F.struct(F.lit(name).alias("screener_type"), score.cast("double").alias("score"))
         for name, score in [("day_gainers", F.col("change_percent")),

@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.functions import bands, market
-from tapeworks.operators.latest import newest
-from tapeworks.operators.skew import ROWS_PER_TASK, lookup_join
+from tapeworks.operators.latest import at_last, last_times, newest_rows
 
 # Columns of the fact table.
 FACT_COLUMNS = [
@@ -30,6 +29,12 @@ def _now(as_of: dt.datetime | None) -> Column:
     return F.current_timestamp() if as_of is None else F.lit(as_of)
 
 
+def _labelled(rows: DataFrame, name: str) -> DataFrame:
+    """One struct per symbol, of the greatest of the few rows it has left."""
+    rest = [c for c in rows.columns if c != "symbol"]
+    return rows.groupBy("symbol").agg(F.max(F.struct(*rest)).alias(name))
+
+
 def dim_stocks(quotes: DataFrame, screeners: DataFrame, news: DataFrame,
                as_of: dt.datetime | None = None, active_days: int = 7) -> DataFrame:
     """One row per symbol seen in any valid quote, screener or news row.
@@ -39,18 +44,21 @@ def dim_stocks(quotes: DataFrame, screeners: DataFrame, news: DataFrame,
     Of several rows with the newest time the greatest values win.
     """
     first_day = F.date_sub(F.to_date(_now(as_of)), active_days)
-    q = quotes.groupBy("symbol").agg(
-        newest("quote_timestamp", "name", "exchange", "currency",
-               where=F.col("is_valid_quote")).alias("q"),
-        F.max("quote_timestamp").alias("last_quote"),
-    )
-    s = (screeners.where("is_valid_screener").groupBy("symbol")
-         .agg(newest("message_timestamp", "market_cap_category").alias("s")))
-    n = (news.where("is_valid_news").groupBy("symbol")
-         .agg(newest("message_timestamp", "news_category").alias("n")))
+    valid = F.col("is_valid_quote")
+    last = last_times(quotes, ["symbol"], {
+        "last_valid": F.when(valid, F.col("quote_timestamp")), "last_quote": F.col("quote_timestamp"),
+        "any_valid": F.when(valid, F.lit(1))})
+    listing = at_last(quotes.where(valid).select("symbol", "quote_timestamp", "name", "exchange", "currency"),
+                      ["symbol"], "quote_timestamp", last, "last_valid")
+    q = last.select("symbol", "last_quote", F.col("any_valid").isNotNull().alias("q_valid")).join(
+        _labelled(listing, "q"), "symbol", "left")
+    s = _labelled(newest_rows(screeners.where("is_valid_screener").select(
+        "symbol", "message_timestamp", "market_cap_category"), ["symbol"], "message_timestamp"), "s")
+    n = _labelled(newest_rows(news.where("is_valid_news").select(
+        "symbol", "message_timestamp", "news_category"), ["symbol"], "message_timestamp"), "n")
     joined = (
         q.join(s, "symbol", "full").join(n, "symbol", "full")
-        .where("q is not null or s is not null or n is not null")
+        .where("q_valid or s is not null or n is not null")
     )
     named = joined.select(
         "symbol",
@@ -88,18 +96,17 @@ def quote_measures(quotes: DataFrame) -> DataFrame:
     )
 
 
-def fact_quotes(quotes: DataFrame, dim: DataFrame, as_of: dt.datetime | None = None,
-                rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
+def fact_quotes(quotes: DataFrame, dim: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
     """Valid quotes with stock attributes, time attributes and measures.
 
     ``market_cap_category`` is the one of the stock, ``quote_market_cap_category`` that of the
-    quote. See ``lookup_join`` for hot symbols and ``rows_per_task``.
+    quote. ``dim`` is a stored table (``materialize``): a small one is broadcast, and beyond that the adaptive
+    skew join splits a hot symbol, which it cannot when the other side comes out of an aggregate. Where both
+    are bucketed by symbol, neither is shuffled.
     """
     stock = dim.select("symbol", "stock_id", "sector", "industry", "market_cap_category")
-    return (
-        lookup_join(quote_measures(quotes), stock, "symbol", rows_per_task=rows_per_task)
-        .select(*FACT_COLUMNS, _now(as_of).alias("created_at"))
-    )
+    return (quote_measures(quotes).join(stock, "symbol", "left")
+            .select(*FACT_COLUMNS, _now(as_of).alias("created_at")))
 
 
 def symbol_days(fact: DataFrame) -> DataFrame:
@@ -212,12 +219,11 @@ def market_performance(fact: DataFrame) -> DataFrame:
     )
 
 
-def news_sentiment_fact(news: DataFrame, dim: DataFrame,
-                        rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
-    """Valid, dated news with their stock and a key over symbol, url and time."""
+def news_sentiment_fact(news: DataFrame, dim: DataFrame) -> DataFrame:
+    """Valid, dated news with their stock and a key over symbol, url and time; ``dim`` as in ``fact_quotes``."""
     dated = news.where("is_valid_news and published_time is not null")
     return (
-        lookup_join(dated, dim.select("symbol", "stock_id"), "symbol", rows_per_task=rows_per_task)
+        dated.join(dim.select("symbol", "stock_id"), "symbol", "left")
         .select(
             market.surrogate_key(
                 F.col("symbol"), F.col("url"), F.col("published_time")).alias("news_id"),

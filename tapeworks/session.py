@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # ANSI mode stays on: the library uses try_cast / try_divide where bad input is expected.
 DEFAULTS = {
@@ -41,3 +41,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"{purpose}-")
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back: its lineage ends there and its size is known."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

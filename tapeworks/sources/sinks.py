@@ -69,14 +69,24 @@ def land_both(raw: DataFrame, processed: DataFrame, root: str, table: str, proce
             land(processed, root, "processed", processed_table, **options))
 
 
-def materialize(df: DataFrame, name: str, kind: str, database: str = "analytics") -> None:
-    """Staging relations become views, marts become tables."""
+def materialize(df: DataFrame, name: str, kind: str, database: str = "analytics",
+                bucket_by: str | None = None, buckets: int = 256) -> None:
+    """Staging relations become views, marts become tables, optionally in buckets of a join key.
+
+    Tables with equal buckets of their join key meet without a shuffle. A hot key fills one bucket; leave it
+    to the adaptive skew join instead.
+    """
     if kind == "view":
         df.createOrReplaceTempView(name)
     elif kind == "table":
         spark = df.sparkSession
         spark.sql(f"create database if not exists {database}")
-        df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
+        writer = df.write.mode("overwrite").format("parquet")
+        if bucket_by:
+            # Rows come by bucket, so that a task writes its buckets and not a file of each.
+            by_bucket = df.repartition(buckets, bucket_by)
+            writer = by_bucket.write.mode("overwrite").format("parquet").bucketBy(buckets, bucket_by).sortBy(bucket_by)
+        writer.saveAsTable(f"{database}.{name}")
         spark.sql(f"alter table {database}.{name} "
                   f"set tblproperties ('schema_version' = '{SCHEMA_VERSION}')")
     else:

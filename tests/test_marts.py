@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeworks import schemas
-from tapeworks.operators import quality
-from tapeworks.operators.skew import hot_keys
+from tapeworks.operators import latest, quality, readmodel, summary
 from tapeworks.plans import marts, staging
+from tapeworks.session import stored
+from tapeworks.sources import sinks
 from tapeworks.sources.lake import rows
 
 AS_OF = dt.datetime(2024, 1, 10)
@@ -100,19 +101,80 @@ def test_top_picks_need_no_window(staged):
     assert "Window" not in plan.executedPlan().toString()
 
 
-def test_hot_symbol_is_joined_in_shards(spark, staged):
-    raw = spark.range(0, 6_000, numPartitions=4).select(
-        F.when(F.col("id") % 3 == 0, "A").otherwise(F.concat(F.lit("S"), F.col("id") % 50)).alias("symbol"),
-        F.col("id").cast("double").alias("price"), F.lit(1).cast("bigint").alias("volume"),
-        F.lit(1.0).alias("change_percent"),
-        F.timestamp_seconds("id").alias("quote_timestamp"))
-    missing = {c: F.lit(None).cast("double") for c in staging.QUOTE_COLUMNS if c not in raw.columns}
-    quotes = staging.stg_quotes(raw.withColumns(missing))
-    dim = marts.dim_stocks(*staged, as_of=AS_OF).where("symbol <> 'B'")
-    sharded = marts.fact_quotes(quotes, dim, AS_OF, rows_per_task=100)
-    assert sorted(sharded.collect()) == sorted(marts.fact_quotes(quotes, dim, AS_OF, None).collect())
-    hot = {r.symbol: r._shards for r in hot_keys(quotes, ["symbol"], 100).collect()}
-    assert hot == {"A": 20}  # the first of 2,000 rows has the price 0
-    orphans = quality.failing_relationship(quotes, "symbol", dim, rows_per_task=100)
-    assert orphans.columns == quotes.columns
-    assert orphans.count() == quotes.where("symbol <> 'A'").count()
+def sorted_inputs(df):
+    """Of the executed plan: for each sort aggregate, whether it stands on rows that a semi-join has left."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(x) - len(x.lstrip(" :+-*(0123456789)")) for x in lines]
+    for k, line in enumerate(lines):
+        if "SortAggregate" in line:
+            below = [x for x, d in zip(lines[k + 1:], depth[k + 1:]) if d > depth[k]]
+            yield any("LeftSemi" in x for x in below)
+
+
+def test_newest_rows_need_no_sort_of_the_input(staged):
+    quotes, screeners, news = staged
+    times = quotes.withColumn("date", F.to_date("quote_timestamp"))
+    for df, sorts in ((marts.dim_stocks(quotes, screeners, news, as_of=AS_OF), True),
+                      (readmodel.latest_prices(times, "quote_timestamp"), False),
+                      (summary.screener_lists(quotes), True), (latest.dedupe(quotes), True)):
+        found = list(sorted_inputs(df))
+        assert all(found) and bool(found) == sorts
+
+
+def test_last_day_reads_one_partition(spark, tmp_path):
+    rows = [("A", dt.date(2024, 1, d), 1.0 * d, d) for d in range(1, 9)]
+    df = spark.createDataFrame(rows, "symbol string, date date, change_percent double, volume bigint")
+    df.write.partitionBy("date").parquet(str(tmp_path / "days"))
+    got = readmodel.latest_day_summary(spark.read.parquet(str(tmp_path / "days")))
+    assert [(str(r.date), r.total_stocks, r.total_volume) for r in got.collect()] == [("2024-01-08", 1, 8)]
+    scans = [x for x in got._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x]
+    assert "(date#" in scans[0] and "Subquery" in scans[0].split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_facts_read_quotes_once_and_shuffle_nothing(spark, staged):
+    quotes, screeners, news = staged
+    dim = stored(marts.dim_stocks(quotes, screeners, news, as_of=AS_OF), "dim")
+    facts = marts.fact_quotes(stored(quotes, "quotes"), dim, AS_OF)
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and "Exchange hashpartitioning" not in plan
+
+
+def test_bucketed_facts_shuffle_nothing(spark, staged, no_broadcast):
+    quotes, screeners, news = staged
+    sinks.materialize(quotes, "stg_quotes_b", "table", bucket_by="symbol", buckets=4)
+    sinks.materialize(marts.dim_stocks(quotes, screeners, news, as_of=AS_OF), "dim_b", "table", bucket_by="symbol", buckets=4)
+    facts = marts.fact_quotes(spark.table("analytics.stg_quotes_b"), spark.table("analytics.dim_b"), AS_OF)
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    dim = stored(marts.dim_stocks(quotes, screeners, news, as_of=AS_OF), "dim")
+    assert sorted(facts.collect()) == sorted(marts.fact_quotes(quotes, dim, AS_OF).collect())
+
+
+def test_hot_keys_are_dealt_over_tasks(spark, tmp_path, no_broadcast):
+    """A million child rows are equal, some keys are NULL, a column holds maps. Sizes are those of compressed rows."""
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k) for k in small}
+    child = spark.range(0, 1_010_000, numPartitions=20).select(
+        F.when(F.col("id") % 101 != 0, "hot").when(F.col("id") % 50 == 1, None).otherwise((F.col("id") % 5000).cast("string")).alias("k"),
+        F.struct(F.create_map(F.lit("a"), F.lit(1)).alias("m")).alias("s"))
+    child.write.parquet(str(tmp_path / "child"))
+    child = spark.read.parquet(str(tmp_path / "child"))
+    parents = spark.range(0, 4000).select(F.col("id").cast("string").alias("k"))
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        orphans = quality.failing_relationship(child, "k", parents).withColumn("task", F.spark_partition_id())
+        sizes = {r.task: r["count"] for r in orphans.where("k = 'hot'").groupBy("task").count().collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(sizes.values()) == 1_000_000 and len(sizes) > 3 and max(sizes.values()) < 300_000

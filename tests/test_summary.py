@@ -99,6 +99,13 @@ def test_dedupe_and_newest(spark):
     df = spark.createDataFrame([("A", 1, 5), ("A", 1, 7), ("A", 2, 1)], "symbol string, t int, v int")
     assert sorted(latest.dedupe(df, ("symbol", "t")).collect()) == [("A", 1, 7), ("A", 2, 1)]
     assert latest.newest_rows(df, ["symbol"], "t").collect() == [("A", 2, 1)]
+    odd = spark.createDataFrame(
+        [(None, None, {"a": 1}), (None, None, {"b": 2}), ("A", None, {"c": 1}), ("A", 3, None), ("A", 3, None)],
+        "symbol string, t int, m map<string, int>")
+    assert sorted(map(repr, latest.dedupe(odd, ("symbol", "t")).collect())) == sorted(map(repr, [
+        odd.collect()[1], odd.collect()[2], odd.collect()[3]]))
+    assert sorted(repr(tuple(r)) for r in latest.newest_rows(odd, ["symbol"], "t").collect()) == sorted(
+        [repr((None, None, {"b": 2})), repr(("A", 3, None))])
 
 
 @pytest.fixture(scope="module")
