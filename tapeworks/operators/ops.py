@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tapeworks.functions.market import mean, safe_ratio
+from tapeworks.functions.market import mean, safe_ratio, surrogate_key
+from tapeworks.sources.lake import exists
 
 # Alert thresholds and retention of the logs in days.
 SLOW_SECONDS = 300
@@ -17,47 +18,67 @@ ALERT_DAYS = 30
 JOB_DAYS = 7
 
 
-def _alert(kind: str, severity: str, title: Column, message: Column,
-           data_source: Column, job_id: Column | None = None) -> list[Column]:
+def _alert(rule: str, kind: str, severity: str, title: Column, message: Column, data_source: Column, run: str,
+           created_at: Column, job_id: Column | None = None) -> list[Column]:
+    subject = data_source if job_id is None else job_id
     return [
+        surrogate_key(F.lit(rule), subject, F.lit(run)).alias("alert_id"),
         F.lit(kind).alias("alert_type"), F.lit(severity).alias("severity"),
         title.alias("title"), message.alias("message"), data_source.alias("data_source"),
         (F.lit(None).cast("string") if job_id is None else job_id).alias("job_id"),
+        F.lit(False).alias("resolved"), F.lit(None).cast("timestamp").alias("resolved_at"),
+        created_at.alias("created_at"),
     ]
 
 
 def failure_rates(jobs: DataFrame) -> DataFrame:
     """Jobs, failed jobs and their share per data source."""
+    return _rates(jobs)
+
+
+def _rates(jobs: DataFrame, *more: Column) -> DataFrame:
     failed = F.count_if(F.col("status") == "failed")
     return jobs.groupBy("data_source").agg(
         F.count("*").alias("jobs"), failed.alias("failed_jobs"),
-        (failed / F.count("*")).alias("failure_rate"))
+        (failed / F.count("*")).alias("failure_rate"), *more)
 
 
-def job_alerts(jobs: DataFrame) -> DataFrame:
-    """Alerts for failed jobs, slow jobs, and sources that fail too often."""
-    job, source = F.col("job_id"), F.col("data_source")
+def job_alerts(jobs: DataFrame, run: str = "") -> DataFrame:
+    """Alerts for failed jobs, slow jobs, and sources that fail too often.
+
+    The id is a hash of the rule, what it is about (the job or the source) and the ``run``, so a repeated run
+    makes the same ids. An alert has the time of its job, that of a source the time of its newest job.
+    """
+    job, source, at = F.col("job_id"), F.col("data_source"), F.col("created_at")
     # Both rules on a job are read off the same row, so the log is scanned once for them.
     rules = F.array(
         F.when(F.col("status") == "failed", F.struct(*_alert(
-            "error", "high", F.concat(F.lit("Job Failed: "), job),
+            "failed", "error", "high", F.concat(F.lit("Job Failed: "), job),
             F.concat(F.lit("Job "), job, F.lit(" failed: "), F.coalesce("error_message", F.lit(""))),
-            source, job))),
+            source, run, at, job))),
         F.when(F.col("duration_seconds") > SLOW_SECONDS, F.struct(*_alert(
-            "warning", "medium", F.concat(F.lit("Slow Job: "), job),
+            "slow", "warning", "medium", F.concat(F.lit("Slow Job: "), job),
             F.format_string("Job %s took %.2f seconds", job, F.bround("duration_seconds", 2)),
-            source, job))),
+            source, run, at, job))),
     )
     per_job = jobs.select(F.explode(rules).alias("a")).where("a is not null").select("a.*")
-    rates = failure_rates(jobs).where(F.col("failure_rate") > FAILURE_RATE)
+    rates = _rates(jobs, F.max(at).alias("created_at")).where(F.col("failure_rate") > FAILURE_RATE)
     per_source = rates.select(*_alert(
-        "warning", "medium", F.concat(F.lit("High Failure Rate: "), source),
+        "failure_rate", "warning", "medium", F.concat(F.lit("High Failure Rate: "), source),
         F.format_string("Failure rate for %s is %.1f%%", source,
                         F.bround(F.col("failure_rate") * 100, 1)),
-        source))
+        source, run, at))
     return per_job.unionByName(per_source)
 
 
+def append_alerts(alerts: DataFrame, log: str) -> None:
+    """Add alerts to the log; those whose id it has are left out, so a repeated run adds nothing."""
+    spark = alerts.sparkSession
+    if exists(spark, log):
+        alerts = alerts.join(spark.read.parquet(log).select("alert_id"), "alert_id", "left_anti")
+    alerts.write.mode("append").parquet(log)
+
+
 def run_quality(jobs: DataFrame) -> DataFrame:
     """Share of items that went through, per job; NULL when nothing did."""
     done, failed = F.col("processed_items"), F.col("failed_items")
@@ -88,8 +109,9 @@ def run_summary(jobs: DataFrame) -> DataFrame:
 
 def collect_metrics(jobs: DataFrame) -> DataFrame:
     """Metric rows of jobs."""
+    measured = [c for c in ("memory_usage_mb", "cpu_usage_percent") if c in jobs.columns]
     return run_quality(jobs).select(
-        "job_id", "data_source",
+        "job_id", "data_source", *measured,
         F.col("processed_items").alias("records_processed"),
         F.col("failed_items").alias("records_failed"),
         F.coalesce("duration_seconds", F.lit(0.0)).alias("processing_time_seconds"),
@@ -119,11 +141,14 @@ METRIC_AVERAGES = {
 
 
 def metric_averages(metrics: DataFrame, last: int = 100) -> DataFrame:
-    """Averages over the newest metrics; missing values count as 0."""
-    newest_metrics = recent(metrics, last)
-    return newest_metrics.agg(F.count("*").alias("jobs"), *[
+    """Averages over the ``last`` newest metrics, their number, and that of all (``total_jobs``).
+
+    Missing values count as 0.
+    """
+    averages = recent(metrics, last).agg(F.count("*").alias("jobs"), *[
         mean(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(name)
         for c, name in METRIC_AVERAGES.items() if c in metrics.columns])
+    return averages.withColumn("total_jobs", metrics.agg(F.count("*")).scalar())
 
 
 def api_error_rates(metrics: DataFrame, threshold: float = API_ERROR_RATE) -> DataFrame:

@@ -67,11 +67,17 @@ def latest_day_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def pivot_change(df: DataFrame, column: str, values: list) -> DataFrame:
-    """Average change per symbol, one column per value of ``column`` (a date or period).
+def pivot_change(df: DataFrame, column: str, values: list | None = None, most: int = 1000) -> DataFrame:
+    """Average change per symbol, one column per value of ``column`` (a date or period), in order.
 
-    The values are given, so no extra job looks for them.
+    Without given values a job looks for those of the data; more than ``most`` of them are an error, since
+    each is a column.
     """
+    if values is None:
+        found = df.where(F.col(column).isNotNull()).select(column).distinct().limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"more than {most} values of {column}; choose a shorter range")
+        values = sorted(row[0] for row in found)
     return df.groupBy("symbol").pivot(column, values).agg(market.mean("change_percent"))
 
 

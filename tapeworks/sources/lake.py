@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
+from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeworks import schemas
 from tapeworks.operators.clean import conjunction, date_range
+from tapeworks.session import stored
 
 
 def rows(spark: SparkSession, data: list[dict], ddl: str) -> DataFrame:
@@ -142,68 +147,136 @@ def expired_files(spark: SparkSession, path: str, as_of: dt.datetime, days: int,
     raise ValueError(f"unknown age: {by}")
 
 
-def expire(spark: SparkSession, path: str, as_of: dt.datetime, days: int = 30,
-           archive: str | None = None, by: str = "date") -> int:
-    """Delete the files of a Parquet table that are older than ``days``; returns their number.
+def expiry_manifest(spark: SparkSession, path: str, as_of: dt.datetime, days: int = 30) -> DataFrame:
+    """Stored list of the files of a Parquet table by date that are older than ``days``: source_file, date, rows.
+
+    Copy, check and delete all go by this list, so a file that lands later is touched by none of them.
+    """
+    cutoff = (as_of - dt.timedelta(days=days)).date()
+    old = (spark.read.parquet(path).where(F.col("date") < F.lit(cutoff))
+           .groupBy(F.col("_metadata.file_path").alias("source_file"), "date").agg(F.count("*").alias("rows")))
+    return stored(old, "expiry-manifest")
 
-    With ``archive`` the rows are first added there, by date partition, each with the file it came
-    from (``source_file``). Files that the archive knows are not copied again, so a run that broke off
-    between copy and delete can be repeated, and late files of an archived day are added to it. Nothing
-    is deleted unless the archive holds as many rows of these files as the table.
-    Only file names pass the driver, one at a time.
+
+def archive_files(spark: SparkSession, path: str, archive: str, manifest: DataFrame) -> None:
+    """Add the rows of the listed files to ``archive``, by date, each with its ``source_file``.
+
+    Files that the archive knows are not copied again. Raises unless it then holds each file with all its rows.
+    """
+    wanted = manifest
+    if exists(spark, archive):
+        wanted = manifest.join(spark.read.parquet(archive).select("source_file").distinct(), "source_file", "left_anti")
+    (spark.read.parquet(path).withColumn("source_file", F.col("_metadata.file_path"))
+     .join(wanted.select("source_file"), "source_file", "left_semi")
+     .write.mode("append").partitionBy("date").parquet(archive))
+    if manifest.isEmpty():
+        return
+    spark.catalog.refreshByPath(archive)
+    held = spark.read.parquet(archive).groupBy("source_file").agg(F.count("*").alias("held"))
+    short = manifest.join(held, "source_file", "left").where("held is null or held <> rows")
+    if not short.isEmpty():
+        raise RuntimeError(f"{archive} does not hold all expired rows of {path}; nothing was deleted")
+
+
+def delete_files(spark: SparkSession, path: str, names: DataFrame, threads: int = 16) -> int:
+    """Delete the listed files (one column of addresses) and the folders that this leaves empty; returns their number.
+
+    Names pass the driver a partition at a time, and ``threads`` of them are deleted at once.
     """
-    old = expired_files(spark, path, as_of, days, by)
-    if archive is not None:
-        if by != "date":
-            raise ValueError("an archive needs a table partitioned by date")
-        cutoff = (as_of - dt.timedelta(days=days)).date()
-        rows = (spark.read.parquet(path).withColumn("source_file", F.col("_metadata.file_path"))
-                .where(F.col("date") < F.lit(cutoff)))
-        new = rows
-        if exists(spark, archive):
-            known = spark.read.parquet(archive).select("source_file").distinct()
-            new = rows.join(known, "source_file", "left_anti")
-        new.write.mode("append").partitionBy("date").parquet(archive)
-        spark.catalog.refreshByPath(archive)
-        if rows.limit(1).count():
-            copied = spark.read.parquet(archive).join(rows.select("source_file").distinct(), "source_file", "left_semi")
-            if copied.count() != rows.count():
-                raise RuntimeError(f"{archive} does not hold all expired rows of {path}; nothing was deleted")
     hadoop = spark._jvm.org.apache.hadoop.fs
-    system = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    deleted = 0
-    for row in old.select("path").toLocalIterator():
-        deleted += bool(system.delete(hadoop.Path(row.path), False))
+    conf = spark._jsc.hadoopConfiguration()
+
+    def delete(name: str) -> tuple[bool, str]:
+        # A listing gives plain paths, the manifest escaped addresses.
+        target = hadoop.Path(spark._jvm.java.net.URI(name)) if escaped else hadoop.Path(name)
+        return target.getFileSystem(conf).delete(target, False), target.getParent().toString()
+
+    escaped, deleted, folders = names.columns == ["source_file"], 0, set()
+    with ThreadPoolExecutor(threads) as pool:
+        held = (row[0] for row in names.toLocalIterator())
+        while part := list(islice(held, 1000)):
+            for done, folder in pool.map(delete, part):
+                deleted += done
+                folders.add(folder)
+    root = hadoop.Path(path)
+    for folder in folders:
+        target = hadoop.Path(folder)
+        system = target.getFileSystem(conf)
+        below = folder.rstrip("/") != system.makeQualified(root).toString().rstrip("/")
+        if below and system.exists(target) and not system.listStatus(target):
+            try:
+                system.delete(target, False)
+            except Py4JJavaError:
+                pass  # a late file has filled the folder meanwhile; it stays
     spark.catalog.refreshByPath(path)
     return deleted
 
 
-def mark_expired(df: DataFrame, policies: dict[str, int], as_of: dt.datetime,
+def expire(spark: SparkSession, path: str, as_of: dt.datetime, days: int = 30,
+           archive: str | None = None, by: str = "date") -> int:
+    """Delete the files of a Parquet table that are older than ``days``; returns their number.
+
+    With ``archive`` the rows are first added there, by date partition. A run that broke off between copy
+    and delete can be repeated, and late files of an archived day are added to it by the next run. Nothing is
+    deleted unless the archive holds all rows of the files to delete.
+    """
+    if archive is None:
+        return delete_files(spark, path, expired_files(spark, path, as_of, days, by).select("path"))
+    if by != "date":
+        raise ValueError("an archive needs a table partitioned by date")
+    manifest = expiry_manifest(spark, path, as_of, days)
+    archive_files(spark, path, archive, manifest)
+    return delete_files(spark, path, manifest.select("source_file"))
+
+
+class Policy(NamedTuple):
+    """How long the rows of a data type are kept, and where older ones go."""
+    data_type: str
+    retention_days: int = 30
+    archive_enabled: bool = False
+    archive_location: str | None = None
+    enabled: bool = True
+
+
+def expire_tables(spark: SparkSession, root: str, policies: Sequence[Policy], as_of: dt.datetime) -> dict[str, int]:
+    """Apply each enabled policy to the table below ``root`` that it names; deleted files by data type."""
+    return {p.data_type: expire(spark, f"{root.rstrip('/')}/{p.data_type}", as_of, p.retention_days,
+                                p.archive_location if p.archive_enabled else None)
+            for p in policies if p.enabled}
+
+
+def mark_expired(df: DataFrame, policies: dict[str, int] | Sequence[Policy], as_of: dt.datetime,
                  source: str = "data_source", time: str = "created_at") -> DataFrame:
     """Flag rows older than the retention of their source; sources without one are kept."""
-    if not policies:
+    days = policies if isinstance(policies, dict) else {p.data_type: p.retention_days for p in policies if p.enabled}
+    if not days:
         return df.withColumn("expired", F.lit(False))
-    pairs = [F.lit(part) for pair in policies.items() for part in pair]
-    days = F.create_map(*pairs)[F.col(source)]
-    cutoff = F.date_sub(F.lit(as_of.date()), days)
+    pairs = [F.lit(part) for pair in days.items() for part in pair]
+    cutoff = F.date_sub(F.lit(as_of.date()), F.create_map(*pairs)[F.col(source)])
     return df.withColumn("expired", F.coalesce(F.col(time) < cutoff, F.lit(False)))
 
 
-def apply_retention(df: DataFrame, policies: dict[str, int], as_of: dt.datetime, keep: str,
+def apply_retention(df: DataFrame, policies: dict[str, int] | Sequence[Policy], as_of: dt.datetime, keep: str,
                     archive: str | None = None, source: str = "data_source",
                     time: str = "created_at") -> None:
-    """Write the rows to keep to ``keep`` and, before that, the expired ones to ``archive``.
+    """Write the rows to keep to ``keep`` and, before that, the expired ones to their archive.
 
-    Each run has its own partition of the archive, named by ``as_of``; a repeated run replaces only
-    that. Neither path may be one that ``df`` is read from.
+    That is ``archive`` for all, or the place that the policy of their source names; rows of a source whose
+    policy has no archive are dropped. Each run has its own partition of an archive, named by ``as_of``; a
+    repeated run replaces only that. No path may be one that ``df`` is read from.
     """
+    places = {} if isinstance(policies, dict) else {
+        p.data_type: p.archive_location or archive for p in policies if p.enabled and p.archive_enabled}
+    targets = [archive] if isinstance(policies, dict) else sorted(set(places.values()))
     read = [file.split("://")[-1].lstrip("/") for file in df.inputFiles()]
-    for path in filter(None, (keep, archive)):
+    for path in filter(None, (keep, *targets)):
         own = path.split("://")[-1].strip("/") + "/"
         if any(file.startswith(own) or f"/{own}" in file for file in read):
             raise ValueError(f"{path} is an input of the rows")
     marked = mark_expired(df, policies, as_of, source, time)
-    if archive is not None:
-        marked.where("expired").drop("expired").write.mode("overwrite").parquet(
-            f"{archive.rstrip('/')}/run={as_of:%Y%m%dT%H%M%S}")
+    for place in filter(None, targets):
+        here = marked.where("expired")
+        if places:
+            here = here.where(F.col(source).isin([s for s, p in places.items() if p == place]))
+        here.drop("expired").write.mode("overwrite").parquet(f"{place.rstrip('/')}/run={as_of:%Y%m%dT%H%M%S}")
     marked.where("not expired").drop("expired").write.mode("overwrite").parquet(keep)

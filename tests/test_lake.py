@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tapeworks import schemas
 from tapeworks.session import shared_dir
-from tapeworks.sources import lake, messages, sinks
+from tapeworks.sources import intake, lake, messages, sinks
 
 NOW = dt.datetime(2024, 6, 30, 12)
 
@@ -118,6 +118,65 @@ def test_archive_survives_reruns_and_late_rows(spark, history, tmp_path):
     assert spark.read.parquet(archive).count() == 24
 
 
+def test_late_files_are_neither_lost_nor_copied_twice(spark, tmp_path):
+    path, archive, as_of = str(tmp_path / "t"), str(tmp_path / "a"), dt.datetime(2024, 1, 10)
+    rows = spark.range(12).selectExpr("id", "date_add(date'2024-01-01', cast(id % 6 as int)) as date")
+    rows.write.partitionBy("date").parquet(path)
+    manifest = lake.expiry_manifest(spark, path, as_of, 5)
+    assert manifest.agg(F.sum("rows")).first()[0] == 8
+    lake.archive_files(spark, path, archive, manifest)
+    rows.where("id < 2").selectExpr("id + 100 as id", "date").write.mode("append").partitionBy("date").parquet(path)
+    assert lake.delete_files(spark, path, manifest.select("source_file")) == manifest.count()
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [4, 5, 10, 11, 100, 101]
+    assert sorted(f.name for f in (tmp_path / "t").iterdir() if f.is_dir()) == [
+        f"date=2024-01-0{d}" for d in (1, 2, 5, 6)]  # folders that are empty now are gone
+    policies = [lake.Policy("t", 5, True, archive), lake.Policy("none", enabled=False)]
+    assert lake.expire_tables(spark, str(tmp_path), policies, as_of)["t"] >= 1
+    assert lake.expire_tables(spark, str(tmp_path), policies, as_of) == {"t": 0}
+    assert sorted(r.id for r in spark.read.parquet(archive).collect()) == [0, 1, 2, 3, 6, 7, 8, 9, 100, 101]
+
+
+def test_nothing_is_deleted_without_a_whole_archive(spark, tmp_path):
+    path, archive, as_of = str(tmp_path / "t"), str(tmp_path / "a"), dt.datetime(2024, 1, 10)
+    rows = spark.range(10).selectExpr("id", "date'2024-01-01' as date")
+    rows.coalesce(1).write.partitionBy("date").parquet(path)
+    short = spark.read.parquet(path).withColumn("source_file", F.col("_metadata.file_path")).limit(4)
+    short.write.partitionBy("date").parquet(archive)
+    with pytest.raises(RuntimeError, match="nothing was deleted"):
+        lake.expire(spark, path, as_of, 5, archive)
+    assert spark.read.parquet(path).count() == 10
+
+
+@pytest.mark.parametrize("layout", ["lines", "document"])
+def test_landed_files_are_taken_once(spark, tmp_path, layout):
+    folder, target = tmp_path / "landed", str(tmp_path / "table")
+    folder.mkdir()
+
+    def land(name, *symbols):
+        rows = [{"symbol": s, "price": 1.5} for s in symbols]
+        (folder / name).write_text(json.dumps(rows, indent=1) if layout == "document" else "\n".join(map(json.dumps, rows)))
+
+    def run():
+        records = intake.landed_files(spark, str(folder), "symbol string, price double", layout=layout,
+                                      archive=str(tmp_path / "taken"))
+        intake.take_landed(records, target, str(tmp_path / "checkpoint")).awaitTermination()
+        return sorted((r.symbol, os.path.basename(r.source_file)) for r in spark.read.parquet(target).collect())
+
+    land("a.json", "A", "B")
+    land("other.txt", "X")
+    assert run() == [("A", "a.json"), ("B", "a.json")] == run()
+    land("b.json", "A")
+    old = os.stat(folder / "b.json").st_mtime - 300 * 86400
+    os.utime(folder / "b.json", (old, old))  # an old time does not hide a new file
+    want = [("A", "a.json"), ("A", "b.json"), ("B", "a.json")]
+    assert run() == want == run()
+    land("c.json", "C")
+    run()
+    assert [f.name for f in (tmp_path / "taken").rglob("a.json")] == ["a.json"] and (folder / "other.txt").exists()
+    with pytest.raises(ValueError):
+        intake.landed_files(spark, str(folder), "a int", layout="rows")
+
+
 def test_feed_with_tags(spark, tmp_path):
     for symbol, interval in [("A", "1d"), ("A", "1h"), ("B%20C+D", "1d")]:
         folder = tmp_path / f"symbol={symbol}" / f"interval={interval}"

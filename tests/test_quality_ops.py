@@ -8,6 +8,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tapeworks import schemas
 from tapeworks.operators import clean, enrich, ops, quality
 from tapeworks.plans.transform import transform
 from tapeworks.sources import lake
@@ -139,7 +140,7 @@ def test_job_logs(jobs):
     assert (total.data_sources_processed, total.successful_sources, total.failed_sources,
             total.processed_items, total.failed_items) == (2, 1, 1, 13, 6)
     averages = ops.metric_averages(ops.collect_metrics(jobs), last=2).first()
-    assert (averages.jobs, averages.avg_processing_time, averages.avg_data_quality_score) == (2, 155.5, 0.45)
+    assert (averages.jobs, averages.total_jobs, averages.avg_processing_time, averages.avg_data_quality_score) == (2, 3, 155.5, 0.45)
     assert [r.job_id for r in ops.jobs_by_status(jobs, "completed", 1).collect()] == ["2"]
     assert [r.job_id for r in ops.recent(jobs, 2).collect()] == ["1", "2"]
     assert ops.keep_recent(jobs, NOW, ops.JOB_DAYS).count() == 2
@@ -157,6 +158,28 @@ def test_alert_log(spark):
                       ("severity", "high"): (1, 1), ("severity", "medium"): (2, 1)}
 
 
+def test_alerts_keep_their_ids(spark, jobs, tmp_path):
+    log = str(tmp_path / "alerts")
+    for part in (jobs.where("job_id = '1'"), jobs, jobs):
+        ops.append_alerts(ops.job_alerts(part, "monday"), log)
+    stored = spark.read.parquet(log).collect()
+    assert sorted(r.title for r in stored) == ["High Failure Rate: q", "Job Failed: 1", "Slow Job: 2"]
+    assert len({r.alert_id for r in stored}) == 3 and not any(r.resolved for r in stored)
+    assert {r.title: r.created_at for r in stored}["Slow Job: 2"] == NOW - dt.timedelta(days=5)
+    assert set(spark.read.parquet(log).columns) == set(schemas.columns(schemas.ALERT))
+    ops.append_alerts(ops.job_alerts(jobs, "tuesday"), log)
+    assert spark.read.parquet(log).count() == 6
+
+
+def test_policies_have_places(jobs, tmp_path):
+    read = jobs.sparkSession.read.parquet
+    policies = [lake.Policy("q", 3, True, str(tmp_path / "cold")), lake.Policy("n", 3), lake.Policy("x", 1, enabled=False)]
+    for _ in range(2):
+        lake.apply_retention(jobs, policies, NOW, str(tmp_path / "keep"))
+    assert [r.job_id for r in read(str(tmp_path / "keep")).collect()] == ["1"]
+    assert [r.job_id for r in read(str(tmp_path / "cold")).collect()] == ["2"]  # the row of n has no archive
+
+
 def test_api_error_rates(spark):
     df = spark.createDataFrame([("q", 100, 4), ("q", 100, 8), ("n", 100, 5), ("z", 0, 0)],
                                "data_source string, api_calls_made bigint, api_errors bigint")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tapeworks.plans import batch as batch_plan
 from tapeworks.session import shared_dir
-from tapeworks.sources import lake, sinks
+from tapeworks.sources import intake, lake, sinks
 from workload.registry import query
 from workload.summaries import PERFORMERS, batch, rounded
 from workload.views import view
@@ -59,6 +59,47 @@ def lake_expire(spark, sf_dir):
         "symbol", F.col("bar_time").alias("date"), "close", "bar_interval")
 
 
+@query("""
+select symbol, date as bar_time, close, row_id, case when date < date '1998-07-01' then 'archive' else 'table' end as place
+from history""")
+def expire_archive_rerun(spark, sf_dir):
+    """Every row is in the archive or in the table, once: a file lands between copy and delete, and a run repeats."""
+    root = shared_dir(spark, "rerun")
+    path, archive, as_of = f"{root}/history", f"{root}/archive", dt.datetime(1998, 7, 31)
+    history = daily_history(spark, sf_dir).select("symbol", "bar_time", "close", "row_id", "date")
+    late = F.col("row_id") % 50 == 7
+    sinks.write_table(history.where(~late), path, partition_by=["date"])
+    manifest = lake.expiry_manifest(spark, path, as_of)
+    lake.archive_files(spark, path, archive, manifest)
+    sinks.write_table(history.where(late), path, mode="append", partition_by=["date"])
+    lake.delete_files(spark, path, manifest.select("source_file"))
+    policy = [lake.Policy("history", 30, True, archive), lake.Policy("nothing", enabled=False)]
+    for _ in range(2):
+        lake.expire_tables(spark, root, policy, as_of)
+    parts = [spark.read.parquet(p).select("symbol", "bar_time", "close", "row_id", F.lit(n).alias("place"))
+             for n, p in (("archive", archive), ("table", path))]
+    return parts[0].unionByName(parts[1])
+
+
+@query("""
+select drop, screener_type, count(*) as rows, cast(sum(rank) as bigint) as rank_sum, round(sum(price), 3) + 0.0 as price_sum
+from (select *, cast(substr(job_id, 5) as bigint) % 3 + 1 as drop from screeners) group by drop, screener_type""")
+def landed_intake(spark, sf_dir):
+    """Files of three drops, taken over four runs, one of them without a new file."""
+    root = shared_dir(spark, "intake")
+    df = view(spark, sf_dir, "screeners", ["symbol", "price", "rank", "screener_type", "job_id"])
+    numbered = df.withColumn("drop", F.expr("cast(cast(substr(job_id, 5) as bigint) % 3 + 1 as int)")).drop("job_id")
+    ddl = "symbol STRING, price DOUBLE, rank INT, screener_type STRING, drop INT"
+    for number in (1, 2, None, 3):
+        if number is not None:
+            numbered.where(F.col("drop") == number).repartition(2).write.mode("append").json(f"{root}/landed")
+        records = intake.landed_files(spark, f"{root}/landed", ddl, archive=f"{root}/taken", files_per_batch=1)
+        intake.take_landed(records, f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    taken = spark.read.parquet(f"{root}/table").groupBy("drop", "screener_type").agg(
+        F.count("*").alias("rows"), F.sum("rank").alias("rank_sum"), F.sum("price").alias("price_sum"))
+    return rounded(taken.withColumn("drop", F.col("drop").cast("long")), price_sum=3)
+
+
 def landed(spark, sf_dir):
     root = shared_dir(spark, "layers")
     stamp = dt.datetime(2024, 1, 2, 3, 4, 5)

@@ -182,9 +182,23 @@ def latest_day_summary(spark, sf_dir):
     f'round(avg(change_percent) filter (where year(quote_timestamp) = {y}), 9) + 0.0 as "{y}"'
     for y in range(1995, 2002)) + " from quotes group by symbol")
 def performance_pivot(spark, sf_dir):
+    """Symbols by years; the years are those of the data."""
     df = quotes(spark, sf_dir, "symbol", "change_percent", "quote_timestamp")
-    return readmodel.pivot_change(
-        df.withColumn("year", F.year("quote_timestamp")), "year", list(range(1995, 2002)))
+    return readmodel.pivot_change(df.withColumn("year", F.year("quote_timestamp")), "year")
+
+
+@query("""
+select symbol, """ + ", ".join(f"round(avg(change_percent) filter (day = {k}), 9) + 0.0 as day_{k}" for k in range(1, 6)) + """
+from (select symbol, change_percent, dense_rank() over (order by date) as day from dated
+  where date > (select max(date) from (select distinct date from dated) d
+    where (select count(distinct date) from dated e where e.date > d.date) = 5))
+group by symbol""")
+def daily_change_pivot(spark, sf_dir):
+    """Symbols by the last five dates of the data, as a dashboard's range would choose them."""
+    df = dated(spark, sf_dir)
+    last = [r.date for r in df.select("date").distinct().orderBy(F.desc("date")).limit(5).collect()]
+    pivot = readmodel.pivot_change(readmodel.select_view(df, start=min(last)), "date")
+    return pivot.toDF("symbol", *[f"day_{k}" for k in range(1, 6)])
 
 
 @query("select symbol, avg(sentiment_score) as avg_sentiment from stg_news group by symbol")
