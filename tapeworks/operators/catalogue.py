@@ -97,17 +97,38 @@ def union_categories(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def extraction_summary(categories: DataFrame, products: Parsed) -> DataFrame:
-    """Counts of one extraction: categories, products, processed and failed items."""
-    kinds = union_categories([
-        categories.select(F.lit("category").alias("kind")),
-        products.good.select(F.lit("product").alias("kind")),
-        products.rejects.select(F.lit("failed").alias("kind")),
-    ])
-    found = F.count_if(F.col("kind") == "product")
-    return kinds.agg(
-        F.count_if(F.col("kind") == "category").alias("total_categories"),
+CATEGORY, PRODUCT, FAILED = "category", "product", "failed"
+
+
+def parse_categories(responses: DataFrame) -> DataFrame:
+    """All that category responses hold, parsed once: a row per category, product and rejected record.
+
+    ``kind`` says which; products carry the category's name and address, rejects ``record`` and ``reason``.
+    """
+    pages = _pages(responses, [], ("category_name", "category_url", "total_products"))
+    pages = pages.withColumns({
+        "product_count": F.coalesce(F.col("total_products").try_cast("int"), F.lit(0)),
+        "_no_list": no_list("products")})
+    # The first item stands for the category itself, a second one without a record for a list that is missing.
+    none = F.lit(None).cast(pages.schema["products"].dataType.elementType)
+    items = F.when(F.col("_no_list"), F.array(none, none)).otherwise(
+        F.concat(F.array(none), F.coalesce("products", F.array().cast(pages.schema["products"].dataType))))
+    keep = ["category_name", "category_url", "product_count", "_pos"]
+    rows = (pages.select(*keep[:-1], "_value", "_no_list", F.posexplode(items).alias("_pos", "item"))
+            .where("_pos = 0 or item is not null or _no_list"))
+    item, lost = F.col("item"), F.col("_no_list") & (F.col("_pos") > 0)
+    record = F.when(F.col("_no_list"), F.col("_value")).otherwise(F.to_json(item))
+    tagged = split(rows, _product(item), {}, [], keep, item, record, lost).tagged
+    return tagged.withColumn("kind", F.when(F.col("_pos") == 0, CATEGORY).when(F.col("reason").isNull(), PRODUCT)
+                             .otherwise(FAILED)).drop("_pos")
+
+
+def extraction_summary(parsed: DataFrame) -> DataFrame:
+    """Counts of one extraction (``parse_categories``): categories, products, processed and failed items."""
+    found = F.count_if(F.col("kind") == PRODUCT)
+    return parsed.agg(
+        F.count_if(F.col("kind") == CATEGORY).alias("total_categories"),
         found.alias("total_products"),
         found.alias("processed_items"),
-        F.count_if(F.col("kind") == "failed").alias("failed_items"),
+        F.count_if(F.col("kind") == FAILED).alias("failed_items"),
     )

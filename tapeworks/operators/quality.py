@@ -148,7 +148,10 @@ def average_score(checks: DataFrame) -> DataFrame:
 
 
 def quality_alerts(checks: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
-    """An alert per failed check, and one when the average score is low."""
+    """An alert per failed check, and one when the average score is low.
+
+    ``checks`` are read twice: store them first, they are a few rows.
+    """
     created = F.current_timestamp() if as_of is None else F.lit(as_of)
     error = F.col("status") == "error"
     per_check = checks.where(F.col("status").isin("error", "warning")).select(

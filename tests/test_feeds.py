@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeworks import schemas
 from tapeworks.operators import catalogue, feeds
+from tapeworks.operators.catalogue import parse_categories
 from tapeworks.plans.catalogue import extract
 
 
@@ -170,6 +171,23 @@ def test_catalogue(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out" / "products")).count() == 2
 
 
+def test_catalogue_is_parsed_once(spark, tmp_path):
+    """One scan of the responses gives headers, products and rejects, whole documents among them."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("\n".join([*map(json.dumps, CATEGORIES), "broken", '{"products": 5}']))
+    responses = spark.read.text(str(tmp_path / "in"))
+    parsed = parse_categories(responses)
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("from_json") <= 2
+    kinds = [(r.kind, r.category_name, r.reason) for r in parsed.orderBy("kind", "category_name", "reason").collect()]
+    assert kinds == [("category", None, None), ("category", None, None), ("category", "food", None), ("category", "none", None),
+                     ("category", "toys", None), ("failed", None, "unreadable document"), ("failed", None, "unreadable document"),
+                     ("failed", "food", "value of wrong type"), ("product", "toys", None), ("product", "toys", None)]
+    results = extract(responses, str(tmp_path / "out"))
+    for df in results.values():  # results read the stored parse
+        assert "from_json" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_search_defaults_and_union(spark):
     docs = [{"products": [{"id": "1"}, {"id": "2", "rating": "bad"}]},
             {"total_results": 50, "page": 3, "page_size": 10, "search_time": 0.5, "products": []}]

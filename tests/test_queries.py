@@ -21,7 +21,7 @@ def con():
 
 def test_contract(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(QUERIES) - set(ORACLE) == {"lake_tables", "lake_table_info", "latest_json"}
+    assert set(QUERIES) == set(ORACLE)
     assert entry.entry(spark).count() > 0
 
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeworks import session
 from tapeworks.functions.market import surrogate_key
 from tapeworks.operators import clean, enrich, quality
 from tapeworks.plans import marts, staging
@@ -155,7 +158,7 @@ from (select (sum(case when bad * 100.0 / total > case m when '' then 10 else 20
   as s from c) where s < 0.8""")
 def quality_alerts(spark, sf_dir):
     df = view(spark, sf_dir, "quotes", ["symbol", "price", "volume"])
-    checks = quality.run_checks(df, "stock_quotes", AS_OF)
+    checks = session.stored(quality.run_checks(df, "stock_quotes", AS_OF), "checks")
     return quality.quality_alerts(checks, AS_OF).drop("created_at")
 
 
@@ -224,3 +227,64 @@ def fact_without_screener(spark, sf_dir):
         surrogate_key(F.col("symbol")).alias("stock_id"))
     facts = fact(spark, sf_dir).select("symbol", "quote_id", "stock_id")
     return quality.failing_relationship(facts, "stock_id", screened)
+
+
+# Table of the SQL for each table that tests are declared on, with the columns that are named otherwise there.
+TESTED = {
+    "stock_quotes": ("quotes", {"timestamp": "quote_timestamp"}),
+    "market_screeners": ("screeners", {}),
+    "stock_news": ("news", {}),
+    "stock_history": ("history", {}),
+    "dim_stocks": ("dim", {}),
+    "fact_stock_quotes": ("fact", {}),
+    "fact_market_performance": ("(select md5(cast(date as varchar)) as performance_id, * from day_totals)", {}),
+    "fact_news_sentiment": ("dated_news", {}),
+    "mart_daily_summary": ("day_totals", {}),
+}
+cte("dated_news", """
+select stg_news.*, stock_id, md5(symbol || '-' || url || '-' || cast(published_time as varchar)) as news_id
+from stg_news left join dim using (symbol) where is_valid_news and published_time is not null""")
+
+
+def declared_sql():
+    """Every declared test as a count of its failing rows or values."""
+    for kind, declared in (("not_null", quality.NOT_NULL), ("unique", quality.UNIQUE), ("accepted_values", quality.ACCEPTED),
+                           ("relationships", quality.RELATIONSHIPS)):
+        for name, columns in declared.items():
+            source, names = TESTED[name]
+            for column in columns:
+                c = names.get(column, column)
+                failing = {
+                    "not_null": f"(select * from {source} where {c} is null)",
+                    "unique": f"(select {c} from {source} where {c} is not null group by {c} having count(*) > 1)",
+                    "relationships": f"(select * from {source} where {c} not in (select {c} from dim))",
+                }.get(kind) or (f"(select * from {source} where {c} not in "
+                                f"({', '.join(repr(v) for v in columns[column])}))")
+                yield f"select '{kind}_{name}_{column}' as test, count(*) as failing_rows from {failing} t"
+
+
+@query("\nunion all ".join(declared_sql()))
+def declared_tests(spark, sf_dir):
+    """All tests that are declared on raw tables and models. Marts are stored first; not-null tests share a scan."""
+    dim = session.stored(dimension(spark, sf_dir), "dim-stocks")
+    quotes = view(spark, sf_dir, "quotes").withColumnRenamed("quote_timestamp", "timestamp")
+    facts = marts.fact_quotes(staging.stg_quotes(quotes), dim)
+    days = marts.quote_measures(staging.stg_quotes(quotes))
+    news = staging.stg_news(view(spark, sf_dir, "news"))
+    tables = {
+        "stock_quotes": quotes, "market_screeners": view(spark, sf_dir, "screeners"),
+        "stock_news": view(spark, sf_dir, "news"), "stock_history": view(spark, sf_dir, "history"), "dim_stocks": dim,
+        "fact_stock_quotes": facts, "fact_market_performance": marts.market_performance(days),
+        "fact_news_sentiment": marts.news_sentiment_fact(news, dim), "mart_daily_summary": marts.daily_summary(days, news),
+    }
+    parts = []
+    for name, df in tables.items():
+        own = [*quality.NOT_NULL[name], *quality.UNIQUE.get(name, []), *quality.ACCEPTED.get(name, {}),
+               *quality.RELATIONSHIPS.get(name, {})]
+        rows = session.stored(df.select(*dict.fromkeys(own)), name.replace("_", "-"))
+        parts.append(quality.not_null_report(name, rows).select(
+            F.concat(F.lit(f"not_null_{name}_"), "column_name").alias("test"), "failing_rows"))
+        for test, failing in quality.table_tests(name, rows, {"dim_stocks": dim}).items():
+            if not test.startswith("not_null"):
+                parts.append(failing.agg(F.count("*").alias("failing_rows")).select(F.lit(test).alias("test"), "failing_rows"))
+    return session.stored(reduce(DataFrame.unionByName, parts), "declared-tests")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.plans import batch as batch_plan
@@ -109,20 +111,45 @@ def landed(spark, sf_dir):
     return root
 
 
-@query()
+@query("select unnest(['raw', 'processed']) as table_name")
 def lake_tables(spark, sf_dir):
     return lake.list_tables(spark, landed(spark, sf_dir))
 
 
-@query()
+@query("""
+select 'raw/market_screeners' as table_name, strftime(min(date_trunc('year', message_timestamp)), '%Y-%m-%d') as min_date,
+  strftime(max(date_trunc('year', message_timestamp)), '%Y-%m-%d') as max_date, true as has_files, cast(null as varchar) as error
+from screeners""")
 def lake_table_info(spark, sf_dir):
-    return lake.table_info(spark, landed(spark, sf_dir), "raw/market_screeners")
+    """Numbers and sizes of files, which no SQL knows, only as far as there are some."""
+    info = lake.table_info(spark, landed(spark, sf_dir), "raw/market_screeners")
+    some = (F.col("file_count") > 0) & (F.col("total_size_bytes") > 0) & F.col("last_modified").isNotNull()
+    return info.select("table_name", "min_date", "max_date", some.alias("has_files"), "error")
 
 
-@query()
+@query("""
+select layer, cast(rank as integer) as rank, count(*) as rows, round(sum(price), 3) + 0.0 as price_sum,
+  timestamp '2024-01-02 03:04:05' as ingest_ts
+from screeners, (select unnest(['raw', 'processed']) as layer) group by layer, rank""")
+def landed_layers(spark, sf_dir):
+    """An extraction landed as JSON and as typed rows, both read back."""
+    root = landed(spark, sf_dir)
+    ddl = "rank INT, price DOUBLE, ingest_ts TIMESTAMP, date DATE"
+    parts = [lake.read_table(spark, f"{root}/raw/market_screeners", fmt="json", ddl=ddl).withColumn("layer", F.lit("raw")),
+             lake.read_table(spark, f"{root}/processed/market_summary").withColumn("layer", F.lit("processed"))]
+    columns = ["layer", "rank", "price", F.col("ingest_ts").cast("timestamp_ntz").alias("ingest_ts")]
+    both = parts[0].select(*columns).unionByName(parts[1].select(*columns))
+    return rounded(both.groupBy("layer", "rank", "ingest_ts").agg(
+        F.count("*").alias("rows"), F.sum("price").alias("price_sum")), price_sum=3)
+
+
+@query("select rank, count(*) as rows from screeners where rank > 12 group by rank")
 def latest_json(spark, sf_dir):
+    """The newest of two files."""
     df = view(spark, sf_dir, "screeners", ["symbol", "price", "rank"])
-    path = sinks.write_table(df, f"{shared_dir(spark, 'latest')}/screeners", "json")
+    path = f"{shared_dir(spark, 'latest')}/screeners"
+    for part in (F.col("rank") <= 12, F.col("rank") > 12):
+        sinks.write_table(df.where(part).coalesce(1), path, "json", "append")
     ddl = "symbol STRING, price DOUBLE, rank INT"
     newest = lake.read_latest_json(spark, path, ddl, layout="lines")
     return newest.groupBy("rank").agg(F.count("*").alias("rows"))
@@ -149,3 +176,22 @@ def batch_reports(spark, sf_dir):
     stored = batch_plan.run(batch(spark, sf_dir).drop("dollar_volume", "price_trend", "hour", "date"),
                             shared_dir(spark, "reports"), "quote_timestamp")
     return rounded(stored["top_performers"], avg_price=7)
+
+
+@query(f"""
+select 'top_performers' as report, count(*) as rows, cast(sum(total_volume) as bigint) as volume
+from (select * from ({PERFORMERS}) order by avg_change_percent desc nulls last, symbol limit 10)
+union all
+select 'daily_aggregations', count(*), cast(sum(v) as bigint)
+from (select sum(volume) as v from quotes group by symbol, cast(quote_timestamp as date))
+union all
+select 'market_summary', count(*), cast(sum(v) as bigint)
+from (select sum(volume) as v from quotes group by cast(quote_timestamp as date))""")
+def batch_reports_json(spark, sf_dir):
+    """The JSON copies of all three reports."""
+    root = shared_dir(spark, "reports")
+    batch_plan.run(batch(spark, sf_dir).drop("dollar_volume", "price_trend", "hour", "date"), root, "quote_timestamp")
+    parts = [lake.read_table(spark, f"{root}/{name}.json", fmt="json", ddl="total_volume LONG").select(
+        F.lit(name).alias("report"), "total_volume") for name in ("top_performers", "daily_aggregations", "market_summary")]
+    return (reduce(DataFrame.unionByName, parts).groupBy("report")
+            .agg(F.count("*").alias("rows"), F.sum("total_volume").alias("volume")))

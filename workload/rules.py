@@ -15,29 +15,57 @@ BANDS = {
 }
 # Labels with their words, by precedence; the empty word is in every text.
 WORDS = {
-    "news": (("Financial", "earnings revenue profit"), ("M&A", "merger acquisition deal"),
-             ("Product", "product launch release"), ("Leadership", "ceo executive management"),
-             ("General", "")),
-    "news_stream": (("Financial", "earnings revenue"), ("M&A", "merger acquisition"),
-                    ("Product", "product launch release"), ("Leadership", "ceo executive"), ("General", "")),
-    "mood": (("1", "positive growth gain"), ("-1", "negative decline loss"), ("0", "")),
-    "sector": (("Technology", "technology tech"), ("Healthcare", "health medical"),
-               ("Financial Services", "financial bank"), ("Energy", "energy oil gas"),
-               ("Consumer Discretionary", "consumer retail"), ("Utilities", "utility"),
-               ("Industrials", "industrial"), ("Materials", "material"),
-               ("Real Estate", "real_estate reit"), ("Other", "")),
-    "industry": (("Software", "software"), ("Hardware", "hardware"), ("Pharmaceuticals", "pharmaceutical"),
-                 ("Banking", "bank"), ("Insurance", "insurance"), ("Oil & Gas", "oil"), ("Retail", "retail"),
-                 ("Automotive", "automotive"), ("Other", "")),
+    "news": (
+        ("Financial", ("earnings", "revenue", "profit")),
+        ("M&A", ("merger", "acquisition", "deal")),
+        ("Product", ("product", "launch", "release")),
+        ("Leadership", ("ceo", "executive", "management")),
+        ("General", ("",)),
+    ),
+    "news_stream": (
+        ("Financial", ("earnings", "revenue")),
+        ("M&A", ("merger", "acquisition")),
+        ("Product", ("product", "launch", "release")),
+        ("Leadership", ("ceo", "executive")),
+        ("General", ("",)),
+    ),
+    "mood": (
+        ("1", ("positive", "growth", "gain")),
+        ("-1", ("negative", "decline", "loss")),
+        ("0", ("",)),
+    ),
+    "sector": (
+        ("Technology", ("technology", "tech")),
+        ("Healthcare", ("health", "medical")),
+        ("Financial Services", ("financial", "bank")),
+        ("Energy", ("energy", "oil", "gas")),
+        ("Consumer Discretionary", ("consumer", "retail")),
+        ("Utilities", ("utility",)),
+        ("Industrials", ("industrial",)),
+        ("Materials", ("material",)),
+        ("Real Estate", ("real estate", "reit")),
+        ("Other", ("",)),
+    ),
+    "industry": (
+        ("Software", ("software",)),
+        ("Hardware", ("hardware",)),
+        ("Pharmaceuticals", ("pharmaceutical",)),
+        ("Banking", ("bank",)),
+        ("Insurance", ("insurance",)),
+        ("Oil & Gas", ("oil",)),
+        ("Retail", ("retail",)),
+        ("Automotive", ("automotive",)),
+        ("Other", ("",)),
+    ),
 }
 
 cte("band_rules", "select * from (values\n" + ",\n".join(
     f"  ('{rule}', '{label}', cast('{'-infinity' if floor is None else floor}' as double))"
     for rule, bands in BANDS.items() for label, floor in bands) + ") t(rule, label, floor)")
 cte("word_rules", "select * from (values\n" + ",\n".join(
-    f"  ('{rule}', '{label}', {place}, '{word.replace('_', ' ')}')"
+    f"  ('{rule}', '{label}', {place}, '{word}')"
     for rule, classes in WORDS.items() for place, (label, words) in enumerate(classes)
-    for word in words.split(" ")) + ") t(rule, label, place, word)")
+    for word in words) + ") t(rule, label, place, word)")
 
 
 def banded(rule: str, value: str, reached: str = "<") -> str:

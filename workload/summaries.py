@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks.functions import bands
 from tapeworks.operators import clean, readmodel, summary
-from tapeworks.plans import staging
+from tapeworks.plans import dashboard, staging
 from workload.marts import rounded
 from workload.registry import cte, query
 from workload.rules import banded, sentiment
@@ -228,6 +232,32 @@ def price_series(spark, sf_dir):
     return readmodel.series(readmodel.select_view(dated(spark, sf_dir)))
 
 
+@query("""
+select symbol, date, price from dated
+where symbol in ('P1', 'P7', 'P42') and date >= date '1995-01-01' and date <= date '1998-12-31'""")
+def chosen_series(spark, sf_dir):
+    """A dashboard's chart of chosen symbols between two dates."""
+    return readmodel.series(readmodel.select_view(dated(spark, sf_dir), ["P1", "P7", "P42"], "1995-01-01", "1998-12-31"))
+
+
+@query("""
+with chosen as (select * from dated where symbol in (select 'P' || k from range(1, 100) t(k)))
+select 'bounds' as part, 1::bigint as rows union all select 'symbols', count(distinct symbol) from dated
+union all select 'summary', count(distinct date) from chosen where date = (select max(date) from chosen)
+union all select 'prices', count(*) from chosen union all select 'volumes', count(*) from chosen
+union all select 'sentiment', count(distinct symbol) from stg_news
+union all select 'latest_prices', count(distinct symbol) from chosen
+union all select 'top_movers', least(5, count(distinct symbol)) from chosen
+union all select 'news', least(10, count(*)) from stg_news
+union all select 'heat_map', count(distinct symbol) from chosen""")
+def dashboard_page(spark, sf_dir):
+    """All results behind a page, each computed; their contents are compared by queries of their own."""
+    parts = dashboard.page(dated(spark, sf_dir), news(spark, sf_dir), [f"P{k}" for k in range(1, 100)],
+                           pivot_dates=[dt.date(1996, 1, 2), dt.date(1997, 1, 2)])
+    counts = [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("part"), "rows") for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query("""
 select symbol, price, volume, change_percent, exchange from quotes
 where price > 500 and volume <= 40000000 and exchange = 'EXF' and change_percent >= -5
