@@ -35,6 +35,7 @@ ALLOWED = tuple(re.compile(p) for p in (
 ))
 # Character classes, the first that holds all characters counts: class, window, least bits per character.
 CLASSES = (
+    ("digits", re.compile(r"[0-9]+"), 24, 3.0),
     ("hex", re.compile(r"[0-9a-f]+|[0-9A-F]+"), 20, 3.0),
     # Words and names have no digit either, so such strings must be more random.
     ("letters", re.compile(r"[A-Za-z+/_=-]+"), 20, 3.8),
@@ -68,8 +69,6 @@ def entropy_spans(text: str) -> list[tuple[int, int]]:
     spans = []
     for match in CANDIDATE.finditer(text):
         value = match.group()
-        if value.isdigit():
-            continue
         if any(p.fullmatch(value) for p in ALLOWED):
             continue
         for _, chars, width, least in CLASSES:
@@ -98,8 +97,12 @@ def find_secrets(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int,
     """
     order = lambda s: (s[0], KINDS.index(s[2]))
     base = sorted(base_spans(text), key=order)
-    added = [(a, b, "entropy") for a, b in entropy_spans(text)
-             if not any(a < end and start < b for start, end, _ in base)]
+    added, reached, k = [], 0, 0  # both lists go by start, so one sweep tells what overlaps
+    for a, b in entropy_spans(text):
+        while k < len(base) and base[k][0] < b:
+            reached, k = max(reached, base[k][1]), k + 1
+        if reached <= a:
+            added.append((a, b, "entropy"))
     return base, sorted(base + added, key=order)
 
 
@@ -111,7 +114,8 @@ def secret_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """Secrets of every text: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_entropy.
 
     Rows keep their number: NULL and empty texts have no spans, repeated rows are scanned each, other
-    columns are ignored. Row by row, without a shuffle.
+    columns are ignored, an empty table gives no row. Very long texts are scanned whole, in time that grows
+    with their length. Row by row, without a shuffle.
     """
     schema = T.StructType([field(docs, doc_id, "doc_id"),
                            *[T.StructField(f"n_{k}", T.LongType()) for k in KINDS[:3]],

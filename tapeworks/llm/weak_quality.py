@@ -41,8 +41,9 @@ TWICE = re.compile(r"([^\w\s.!?-])\1")
 class Words:
     """What a word shows, looked up once per distinct word and worker."""
 
-    def __init__(self, bits: int, limit: int = 300_000) -> None:
+    def __init__(self, bits: int, limit: int = 300_000, most_chars: int = 1 << 25) -> None:
         self.bits, self.limit, self.known = bits, limit, {}
+        self.chars, self.most_chars = 0, most_chars
         self.table = np.zeros((1024, 3), np.int64)
 
     def _look(self, word: str) -> tuple[int, int, int]:
@@ -58,7 +59,7 @@ class Words:
                  | (not letters and not any(map(str.isdigit, word))) << 2 | ("!!" in word) << 3
                  | (1 <= letters <= 3) << 4 | (TWICE.search(word) is not None) << 5)
         shape, last = [], ""
-        for c in word[:64]:
+        for c in word:
             kind = "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c
             if kind != last:
                 shape.append(kind)
@@ -66,8 +67,8 @@ class Words:
         return flags, zlib.crc32("".join(shape).encode()) & mask, code & mask
 
     def __call__(self, words: list[str]) -> np.ndarray:
-        if len(self.known) > self.limit:
-            self.known = {}
+        if len(self.known) > self.limit or self.chars > self.most_chars:
+            self.known, self.chars = {}, 0
         known = self.known
         new = set(words).difference(known)
         if len(known) + len(new) > len(self.table):
@@ -75,6 +76,7 @@ class Words:
         for word in new:
             self.table[len(known)] = self._look(word)
             known[word] = len(known)
+            self.chars += len(word)
         return self.table[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
 
 
@@ -168,8 +170,10 @@ def weak_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", li
 
     ``sample`` bounds the rows that the scorer is trained on (those with the smallest hashes, so a rerun
     takes the same); the accuracies come from the patterns of all rows. Texts of less than five words
-    give no votes; they, NULL and empty texts are kept, for nothing speaks against them. Repeated rows
-    and NULL ids are scored each. If no pattern is more likely bad, or the table is empty, all is kept.
+    give no votes but are scored; the less they show, in words or, where these are few, in characters, the
+    more good they count, so a text of one very long word is judged by its signs. NULL and empty texts
+    are kept, for nothing speaks against them. Very long texts and words are taken whole. Repeated rows
+    and NULL ids are scored each; given columns of the result's names are replaced. If no pattern is more likely bad, or the table is empty, all is kept.
     """
     spark = docs.sparkSession
     given = docs.select(F.xxhash64(F.lit(seed), docs[doc_id], docs[text]).alias("h"), docs[text].alias("text"))
@@ -236,13 +240,14 @@ def _score(docs: DataFrame, text: str, model, limit: float, bits: int) -> DataFr
             for part in slices([batch.select([text])]):
                 for t in part.column(0).to_pylist():
                     words = (t or "").split()
-                    if weights is None or len(words) < 5:
+                    if weights is None or not words:
                         scores.append(1.0)
                         continue
                     index, value = features(look(words), bits)
                     w, bias = weights.value
                     # A short text shows little; its score is pulled towards good.
-                    trust = len(words) / (len(words) + 8)
+                    shown = len(words) if len(words) >= 5 else max(len(words), sum(map(len, words)) / 6)
+                    trust = shown / (shown + 8)
                     raw = trust * (bias + float(w[index] @ value)) + (1 - trust) * 2
                     scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, raw)))))
             kept = [s >= limit for s in scores]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import math
 import random
 import re
 import zlib
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tapeworks.llm import bpe_ids, token_counts as counts_module
+from tapeworks.llm import bpe_ids, secret_scan as secret_module, token_counts as counts_module
+from tapeworks.llm import weak_quality as quality_module
 from tapeworks.llm.line_dedup import line_dedup
 from tapeworks.llm.mixture import mixture
 from tapeworks.llm.ngram_join import choose_bands, ngram_join
@@ -165,6 +167,40 @@ def test_secret_scan(docs, empty):
     assert entropy_spans("incomprehensibilities-and-antidisestablishmentarianism " + "ab12" * 10) == []
 
 
+@pytest.mark.parametrize("letters", ["ab", "0123456789", "0123456789abcdef", "qwertzuiopASDFGHJKL0123456789+/"])
+def test_entropy_windows_equal_recounting(letters):
+    """Incremental sums against counting each window anew."""
+    rng = random.Random(len(letters))
+    for width, least in ((8, 2.0), (20, 3.0), (24, 3.0), (20, 3.8)):
+        for _ in range(60):
+            text = "".join(rng.choices(letters, k=rng.randint(0, 70)))
+            good = []
+            for a in range(len(text) - width + 1):
+                counts = collections.Counter(text[a:a + width]).values()
+                if -sum(n / width * math.log2(n / width) for n in counts) >= least - 1e-9:
+                    good.append(a)
+            want = (good[0], good[-1] + width) if good else None
+            assert secret_module.entropy_windows(text, width, least) == want
+
+
+def test_many_secrets_in_one_text():
+    """Spans are swept once; those of the method overlap no base span."""
+    rng = random.Random(2)
+    key = lambda n: "".join(rng.choices("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789", k=n))
+    parts = []
+    for _ in range(300):
+        parts += [f"token={key(30)}", f"x {key(24)} y", "AKIA" + "Q2Z" * 7, f"{rng.randrange(10**29, 10**30)}"]
+    text = " ".join(parts)
+    base, spans = secret_module.find_secrets(text)
+    want = sorted(base + [(a, b, "entropy") for a, b in entropy_spans(text) if all(b <= s or e <= a for s, e, _ in base)],
+                  key=lambda s: (s[0], secret_module.KINDS.index(s[2])))
+    assert spans == want and len(base) >= 600 and len(spans) > len(base) + 200
+
+
+def test_random_digits_are_measured():
+    assert entropy_spans("id 938271640582736491056273849105 end") and not entropy_spans("1" * 40 + " 20240101120000")
+
+
 def test_secrets_of_letters_only():
     for key in ("qZrXLkTwPvNmBsHdGyJc", "qZrXLk+TwPvNm/BsHdGyJcAe=="):
         assert entropy_spans(f"key {key} end")
@@ -179,6 +215,31 @@ def test_weak_quality(spark, docs, empty):
     assert {c for c in docs.columns if c != "quality_score"} <= set(rows[0].asDict())
 
 
+def test_weak_quality_of_texts_without_blanks(spark):
+    """Few words do not keep a text by themselves: a long one is judged, a short clean one stays."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rng = random.Random(4)
+    junk = "".join(rng.choices("#*$%&|<>!!", k=50_000))
+    more = spark.createDataFrame([(10**6, junk), (10**6 + 1, "A short line."), (10**6 + 2, "Hello"), (10**6 + 3, "")],
+                                 "doc_id long, text string")
+    rows = {r.doc_id: r for r in weak_quality(docs.unionByName(more)).where("doc_id >= 1000000").collect()}
+    assert not rows[10**6].quality_kept and all(rows[10**6 + k].quality_kept for k in (1, 2, 3))
+
+
+def test_accuracies_are_recovered():
+    """Planted labellers: the estimate orders them by their accuracy and finds the class."""
+    rng = np.random.default_rng(8)
+    truth, accuracy = rng.random(20_000) < 0.6, np.array([0.95, 0.85, 0.75, 0.65, 0.9])
+    hit = rng.random((len(truth), 5)) < accuracy
+    drawn = np.where(hit == truth[:, None], quality_module.GOOD, quality_module.BAD)
+    drawn[rng.random(drawn.shape) < 0.3] = quality_module.NONE
+    patterns, counts = np.unique(drawn, axis=0, return_counts=True)
+    posterior, _, _ = quality_module.estimate(patterns, counts.astype(float))
+    by_pattern = {tuple(p): q for p, q in zip(patterns.tolist(), posterior)}
+    found = np.array([by_pattern[tuple(p)] > 0.5 for p in drawn.tolist()])
+    assert (found == truth).mean() > 0.93
+
+
 def test_weak_quality_held_out(spark):
     """Against labels that the method never sees."""
     folder = "/root/testdata/sf0.01"
