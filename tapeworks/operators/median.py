@@ -11,10 +11,12 @@ narrow a group down before its values meet in one task:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeworks.session import shared_dir
+from tapeworks.session import stored
 
 ACCURACY = 10_000
 BUCKETS = 1_000
@@ -27,16 +29,16 @@ def _bucket(value: Column) -> Column:
             .otherwise(F.floor(share * BUCKETS).cast("int")))
 
 
-def exact_median(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
-    """``by`` and ``median_<column>`` for each column; NULL and NaN values do not count.
+def exact_median(df: DataFrame, by: str, columns: list[str], more: Sequence[Column] = ()) -> DataFrame:
+    """``by``, the aggregates ``more`` and ``median_<column>`` for each column; NULL and NaN values do not count.
 
-    Runs two small jobs when called: the brackets and the target buckets (a row per group) are
-    written to the shared folder, so that their size is known to the joins that read them.
+    ``more`` come out of the first pass, so the input is read three times in all. Groups without any value
+    are left out unless there are such aggregates. Runs two small jobs when called: the brackets and the target
+    buckets (a row per group) are stored, so that their size is known to the joins that read them.
     """
-    spark = df.sparkSession
-    work = shared_dir(spark, "median")
+    rows = df.where(F.col(by).isNotNull())
     values = (
-        df.where(F.col(by).isNotNull())
+        rows
         .select(F.col(by).alias("group"), F.explode(F.array(*[
             F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
             for c in columns])).alias("v"))
@@ -44,12 +46,14 @@ def exact_median(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
     )
     key = ["group", "metric"]
     margin = 2 / ACCURACY
-    bracket = values.groupBy(*key).agg(
-        F.count("*").alias("n"),
-        F.percentile_approx("value", [0.5 - margin, 0.5 + margin], ACCURACY).alias("q"),
-    ).select(*key, "n", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
-    bracket.write.parquet(f"{work}/bracket")
-    bracket = spark.read.schema(bracket.schema).parquet(f"{work}/bracket")
+    known = {c: F.nullif(F.col(c).cast("double"), F.lit(float("nan"))) for c in columns}
+    wide = stored(rows.groupBy(F.col(by).alias("group")).agg(*more, *[part for c, value in known.items() for part in (
+        F.count(value).alias(f"_n_{c}"),
+        F.percentile_approx(value, [0.5 - margin, 0.5 + margin], ACCURACY).alias(f"_q_{c}"))]), "median-brackets")
+    bracket = wide.select("group", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("metric"), F.col(f"_n_{c}").alias("n"), F.col(f"_q_{c}").alias("q"))
+        for c in columns])).alias("b")).where("b.n > 0").select(
+            "group", "b.metric", "b.n", F.col("b.q")[0].alias("lo"), F.col("b.q")[1].alias("hi"))
 
     placed = values.join(bracket, key).withColumn("bucket", _bucket(F.col("value")))
     histogram = placed.groupBy(*key, "n", "lo", "hi", "bucket").agg(F.count("*").alias("size"))
@@ -64,8 +68,7 @@ def exact_median(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
                | ((upper >= high_rank) & (F.col("before") < high_rank)))
         .select(*key, "n", "lo", "hi", "bucket", "before")
     )
-    target.write.parquet(f"{work}/target")
-    target = spark.read.schema(target.schema).parquet(f"{work}/target")
+    target = stored(target, "median-targets")
 
     counts = (
         values.join(target, key).where(_bucket(F.col("value")) == F.col("bucket"))
@@ -77,6 +80,8 @@ def exact_median(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
     medians = ranked.groupBy(*key).agg(
         ((F.min(F.when(upper >= low_rank, F.col("value")))
           + F.min(F.when(upper >= high_rank, F.col("value")))) / 2).alias("median"))
-    return medians.groupBy(F.col("group").alias(by)).agg(*[
-        F.max(F.when(F.col("metric") == c, F.col("median"))).alias(f"median_{c}")
-        for c in columns])
+    flat = medians.groupBy("group").agg(*[
+        F.max(F.when(F.col("metric") == c, F.col("median"))).alias(f"median_{c}") for c in columns])
+    if more:
+        flat = wide.drop(*[f"_{x}_{c}" for x in "nq" for c in columns]).join(flat, "group", "left")
+    return flat.withColumnRenamed("group", by)

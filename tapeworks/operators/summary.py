@@ -23,7 +23,7 @@ def sector_stats(df: DataFrame) -> DataFrame | None:
     if "sector" not in df.columns:
         return None
     price, change = F.col("price"), F.col("change_percent")
-    stats = df.where("sector is not null").groupBy("sector").agg(
+    stats = [
         F.avg(price).alias("price_mean"),
         F.stddev_samp(price).alias("price_std"),
         F.count(price).alias("price_count"),
@@ -33,10 +33,9 @@ def sector_stats(df: DataFrame) -> DataFrame | None:
         F.avg("volume").alias("volume_mean"),
         F.sum("market_cap").alias("market_cap_sum"),
         F.avg("market_cap").alias("market_cap_mean"),
-    )
-    medians = exact_median(df, "sector", ["price", "change_percent"]).withColumnsRenamed(
+    ]
+    joined = exact_median(df, "sector", ["price", "change_percent"], stats).withColumnsRenamed(
         {"median_price": "price_median", "median_change_percent": "change_percent_median"})
-    joined = stats.join(medians, "sector", "left")
     doubles = [c for c in joined.columns if c not in ("sector", "price_count")]
     return joined.withColumns({c: F.bround(c, 2) + F.lit(0.0) for c in doubles})
 

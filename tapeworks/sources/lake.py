@@ -81,15 +81,20 @@ def read_latest_json(spark: SparkSession, folder: str, ddl: str, pattern: str =
     return spark.read.schema(ddl).option("multiLine", layout == "document").json(newest[0].path)
 
 
-def read_feed(spark: SparkSession, paths: str | list[str], tags: Sequence[str] = ()) -> DataFrame:
-    """Landed responses, one JSON document per file, as ``value`` with tag columns.
+def read_feed(spark: SparkSession, paths: str | list[str], tags: Sequence[str] = (),
+              layout: str = "document") -> DataFrame:
+    """Landed responses as ``value`` with tag columns: one JSON document per file, or ("lines") per line.
+
+    A file of lines is split over tasks like any text; a document is read as a whole.
 
     Pages, batches of symbols, intervals and lists of one feed are folders or files of one
     dataset. Tags are read from ``tag=value`` folders.
     """
     # Listing below a tag folder would hide the tag from partition discovery, so it comes from
     # the path of each file.
-    raw = (spark.read.text(paths, wholetext=True, recursiveFileLookup=True)
+    if layout not in ("lines", "document"):
+        raise ValueError(f"unknown layout: {layout}")
+    raw = (spark.read.text(paths, wholetext=layout == "document", recursiveFileLookup=True)
            .select("value", F.col("_metadata.file_path").alias("_path")))
     def decoded(text: Column) -> Column:
         return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))

@@ -185,6 +185,11 @@ def test_feed_with_tags(spark, tmp_path):
     got = lake.read_feed(spark, str(tmp_path), ["symbol", "interval"]).collect()
     assert sorted((r.symbol, r.interval, json.loads(r.value)["body"]) for r in got) == [
         ("A", "1d", []), ("A", "1h", []), ("B C+D", "1d", [])]
+    (tmp_path / "symbol=A" / "interval=1d" / "page1.json").write_text('{"body": 1}\n{"body": 2}\n')
+    lines = lake.read_feed(spark, str(tmp_path / "symbol=A" / "interval=1d"), ["symbol"], layout="lines")
+    assert sorted(r.value for r in lines.collect()) == ['{"body": 1}', '{"body": 2}']
+    with pytest.raises(ValueError):
+        lake.read_feed(spark, str(tmp_path), layout="rows")
 
 
 def test_expire_by_date_with_archive(spark, history, tmp_path):

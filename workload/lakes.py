@@ -163,11 +163,8 @@ def feed_pages(spark, sf_dir):
         F.to_json(F.struct("symbol", F.array(F.struct("close")).alias("body"))).alias("value"))
     path = f"{shared_dir(spark, 'feed')}/history"
     df.select("interval", "value").write.partitionBy("interval").text(path)
-    pages = lake.read_feed(spark, path, ["interval"])
-    # Each file holds one response per line.
-    lines = pages.select("interval", F.explode(F.split("value", "\n")).alias("value"))
-    lines = lines.where("value <> ''")
-    return (lines.select("interval", F.get_json_object("value", "$.symbol").alias("symbol"))
+    pages = lake.read_feed(spark, path, ["interval"], layout="lines")
+    return (pages.select("interval", F.get_json_object("value", "$.symbol").alias("symbol"))
             .groupBy("symbol", "interval").agg(F.count("*").alias("responses")))
 
 
