@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tapeworks.operators import latest, series
 from workload.marts import rounded
-from workload.registry import query
+from workload.registry import cte, query
 from workload.views import view
 
 ROLLING = 20
@@ -64,3 +66,44 @@ qualify row_number() over (partition by symbol
 def latest_screener_rows(spark, sf_dir):
     df = view(spark, sf_dir, "screeners", ["symbol", "message_timestamp", "job_id", "price"])
     return latest.newest_rows(df, ["symbol"], "message_timestamp")
+
+
+# A third of all rows under one symbol, some without a symbol or a time, and many in one minute.
+cte("crowded", """
+select row_id, close, case when row_id % 3 = 0 then 'HOT' when row_id % 11 = 1 then null else symbol end as symbol,
+  case when row_id % 13 = 0 then null when row_id % 4 < 2 then timestamp '1996-02-02 10:00:00' else date end as date
+from history""")
+ROWS_PER_TASK = 1_000
+
+
+def crowded(spark, sf_dir):
+    return view(spark, sf_dir, "history", ["row_id", "close", "symbol", "date"]).withColumns({
+        "symbol": F.expr("case when row_id % 3 = 0 then 'HOT' when row_id % 11 = 1 then null else symbol end"),
+        "date": F.expr("case when row_id % 13 = 0 then null "
+                       "when row_id % 4 < 2 then timestamp_ntz'1996-02-02 10:00:00' else date end")})
+
+
+@query("""
+select row_id, symbol, date, close, round(avg(close) over (
+  partition by symbol order by date nulls first, row_id, close rows between 6 preceding and current row), 7) + 0.0 as rolling_avg_7
+from crowded""")
+def rolling_avg_in_chunks(spark, sf_dir):
+    """Hot, missing and crowded keys are cut by position; results are those of plain windows."""
+    out = series.rolling_avg(crowded(spark, sf_dir), 7, ties=("row_id", "close"), rows_per_task=ROWS_PER_TASK)
+    return out.withColumn("rolling_avg_7", F.round("rolling_avg_7", 7) + F.lit(0.0))
+
+
+@query("""
+select row_id, symbol, date, close, round(close / nullif(lag(close) over s, 0) - 1, 9) + 0.0 as daily_return
+from crowded window s as (partition by symbol order by date nulls first, row_id, close)""")
+def daily_return_in_chunks(spark, sf_dir):
+    out = series.daily_return(crowded(spark, sf_dir), ties=("row_id", "close"), rows_per_task=ROWS_PER_TASK)
+    return out.withColumn("daily_return", F.round("daily_return", 9) + F.lit(0.0))
+
+
+@query("""
+select row_id, symbol, date as valid_from, lead(date) over s as valid_to, lead(date) over s is null as is_current
+from crowded window s as (partition by symbol order by date nulls first, row_id, close)""")
+def scd2_in_chunks(spark, sf_dir):
+    out = series.scd2(crowded(spark, sf_dir), "symbol", "date", ties=("row_id", "close"), rows_per_task=ROWS_PER_TASK)
+    return out.select("row_id", "symbol", "valid_from", "valid_to", "is_current")
