@@ -84,7 +84,7 @@ def expire_archive_rerun(spark, sf_dir):
 
 
 @query("""
-select drop, screener_type, count(*) as rows, cast(sum(rank) as bigint) as rank_sum, round(sum(price), 3) + 0.0 as price_sum
+select drop, screener_type, count(*) as rows, cast(sum(rank) as bigint) as rank_sum, round(sum(price), 5) + 0.0 as price_sum
 from (select *, cast(substr(job_id, 5) as bigint) % 3 + 1 as drop from screeners) group by drop, screener_type""")
 def landed_intake(spark, sf_dir):
     """Files of three drops, taken over four runs, one of them without a new file."""
@@ -99,7 +99,7 @@ def landed_intake(spark, sf_dir):
         intake.take_landed(records, f"{root}/table", f"{root}/checkpoint").awaitTermination()
     taken = spark.read.parquet(f"{root}/table").groupBy("drop", "screener_type").agg(
         F.count("*").alias("rows"), F.sum("rank").alias("rank_sum"), F.sum("price").alias("price_sum"))
-    return rounded(taken.withColumn("drop", F.col("drop").cast("long")), price_sum=3)
+    return rounded(taken.withColumn("drop", F.col("drop").cast("long")), price_sum=5)
 
 
 def landed(spark, sf_dir):
@@ -128,7 +128,7 @@ def lake_table_info(spark, sf_dir):
 
 
 @query("""
-select layer, cast(rank as integer) as rank, count(*) as rows, round(sum(price), 3) + 0.0 as price_sum,
+select layer, cast(rank as integer) as rank, count(*) as rows, round(sum(price), 5) + 0.0 as price_sum,
   timestamp '2024-01-02 03:04:05' as ingest_ts
 from screeners, (select unnest(['raw', 'processed']) as layer) group by layer, rank""")
 def landed_layers(spark, sf_dir):
@@ -140,7 +140,7 @@ def landed_layers(spark, sf_dir):
     columns = ["layer", "rank", "price", F.col("ingest_ts").cast("timestamp_ntz").alias("ingest_ts")]
     both = parts[0].select(*columns).unionByName(parts[1].select(*columns))
     return rounded(both.groupBy("layer", "rank", "ingest_ts").agg(
-        F.count("*").alias("rows"), F.sum("price").alias("price_sum")), price_sum=3)
+        F.count("*").alias("rows"), F.sum("price").alias("price_sum")), price_sum=5)
 
 
 @query("select rank, count(*) as rows from screeners where rank > 12 group by rank")
