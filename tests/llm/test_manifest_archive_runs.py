@@ -88,7 +88,7 @@ def test_manifest(spark, rows):
         for i, (_, leaf, r) in enumerate(sorted(trees[t], key=lambda x: x[:2])):
             changed = r.doc_id is not None and r.doc_id % 3 == 0 and r.n_chars is not None
             want.append((r.doc_id, leaf, grown[t][-1][0], crown[-1][0], _way(grown[t], i) + _way(crown, k), not changed))
-    for bits in (1, 3, 10):
+    for bits in (2, 10):
         got = merkle.merkle_manifest(rows, claims, bits=bits).collect()
         assert sorted(map(repr, want)) == sorted(
             repr((r.doc_id, r.leaf, r.subroot, r.root, list(r.siblings), r.verified)) for r in got)
