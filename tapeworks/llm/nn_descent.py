@@ -50,39 +50,49 @@ def _numbers(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
 
-def _lists(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    offsets = pa.array(np.r_[0, np.cumsum([len(r[1]) for r in rows])].astype(np.int32))
-    flat = lambda k, kind: pa.array(np.concatenate([r[k] for r in rows]).astype(kind))
-    return pa.record_batch([pa.array([r[0] for r in rows], pa.int64()),
-                            pa.ListArray.from_arrays(offsets, flat(1, np.int64)),
-                            pa.ListArray.from_arrays(offsets, flat(2, np.float64))], ["u", "v", "s"])
+def _lists(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """One batch of lists from (nodes, length of each one's list, members of all lists, their scores)."""
+    u, sizes, v, s = (np.concatenate(part) for part in zip(*rows))
+    offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+    return pa.record_batch([pa.array(u.astype(np.int64)),
+                            pa.ListArray.from_arrays(offsets, pa.array(v.astype(np.int64))),
+                            pa.ListArray.from_arrays(offsets, pa.array(s.astype(np.float64)))], ["u", "v", "s"])
 
 
 def _in_batches(rows, size: int = 2000):
-    held = []
+    held, count = [], 0
     for row in rows:
         held.append(row)
-        if len(held) == size:
+        count += len(row[0])
+        if count >= size:
             yield _lists(held)
-            held = []
+            held, count = [], 0
     if held:
         yield _lists(held)
 
 
-def _best_pairs(ids: np.ndarray, vectors: np.ndarray, least: np.ndarray | None, k: int):
-    """For each member of a small group the ``k`` nearest other members above its own limit."""
+def _best_pairs(ids: np.ndarray, vectors: np.ndarray, k: int, least: np.ndarray | None = None,
+                new: np.ndarray | None = None):
+    """For each member of a small group the ``k`` nearest other members above its own limit.
+
+    With ``new``, only pairs that hold a new member are compared.
+    """
     near = vectors @ vectors.T
     np.fill_diagonal(near, -np.inf)
     if least is not None:
         near[near <= least[:, None]] = -np.inf
+    if new is not None:
+        near[np.ix_(~new, ~new)] = -np.inf
     k = min(k, len(ids) - 1)
     if k < 1:
         return
     top = np.argpartition(-near, k - 1, axis=1)[:, :k]
     score = np.take_along_axis(near, top, axis=1)
-    for i in np.flatnonzero(score.max(axis=1) > -np.inf):
-        ok = score[i] > -np.inf
-        yield ids[i], ids[top[i][ok]], score[i][ok]
+    ok = score > -np.inf
+    sizes = ok.sum(axis=1)
+    some = sizes > 0
+    if some.any():
+        yield ids[some], sizes[some], ids[top[ok]], score[ok]
 
 
 def _merge(lists: DataFrame, k: int) -> DataFrame:
@@ -95,7 +105,7 @@ def _merge(lists: DataFrame, k: int) -> DataFrame:
                 v, first = np.unique(v, return_index=True)
                 s = s[first]
                 order = np.lexsort((v, -s))[:k]
-                yield table.column("u")[0].as_py(), v[order], s[order]
+                yield _numbers(table, "u")[:1], [len(order)], v[order], s[order]
         return _in_batches(rows())
 
     return lists.repartition("u").sortWithinPartitions("u").mapInArrow(merge, LISTS)
@@ -119,13 +129,14 @@ def distinct_vectors(vectors: DataFrame, vec_id: str, vector: str, copies: int)
     return nodes, members
 
 
-def neighbour_graph(packed: DataFrame, k: int, rounds: int, members: int, emit: int, tables: int, leaf: int,
+def neighbour_graph(packed: DataFrame, k: int, settled: float, members: int, emit: int, tables: int, leaf: int,
                     seed: int, kind: str) -> tuple[DataFrame, DataFrame]:
     """NN-descent over (nid, packed): neighbour lists (u, v, s), and links (center, member) both ways.
 
     The first lists come from random hyperplanes: in each of ``tables``, nodes on the same sides of all
     planes are compared. Each round joins every node's neighbours and reverse neighbours with their
-    vectors, compares them with each other, and keeps the ``k`` nearest of each.
+    vectors, compares those pairs of which one is new at that node, and keeps the ``k`` nearest of each.
+    It ends when a share of at most ``settled`` of the links is new.
     """
     count = packed.count()
     depth = max(0, math.ceil(math.log2(max(1, count) / leaf)))
@@ -140,64 +151,75 @@ def neighbour_graph(packed: DataFrame, k: int, rounds: int, members: int, emit:
                 bits = (x @ planes > 0) @ (1 << np.arange(max(1, depth)))
                 code = bits if depth else np.zeros(len(x), np.int64)
                 yield pa.record_batch([pa.array(np.full(len(x), table)), pa.array(code.astype(np.int64)),
-                                       batch.column(0), batch.column(1)], ["table", "code", "nid", "packed"])
+                                       batch.column(0)], ["table", "code", "nid"])
 
-    placed = packed.mapInArrow(sides, "table long, code long, nid long, packed binary")
-    # A side of the planes may hold more than planned; it is dealt over parts then.
-    sizes = placed.groupBy("table", "code").agg(F.ceil(F.count("*") / (2 * leaf)).alias("parts"))
+    placed = stored(packed.mapInArrow(sides, "table long, code long, nid long"), "sides")
+    # A side of the planes may hold more than planned; it is dealt over parts. Stored sizes let Spark split its join.
+    sizes = stored(placed.groupBy("table", "code").agg(F.ceil(F.count("*") / (2 * leaf)).alias("parts")), "side-sizes")
     placed = (placed.join(sizes, ["table", "code"])
-              .withColumn("part", F.pmod(F.xxhash64("nid", "table"), F.col("parts"))))
+              .withColumn("part", F.pmod(F.xxhash64("nid", "table"), F.col("parts"))).join(packed, "nid"))
     key = ["table", "code", "part"]
 
     def compare(batches):
         def rows():
             for table in _groups(batches, key):
-                yield from _best_pairs(_numbers(table, "nid"), _unpack(table.column("packed"), kind), None, k)
+                yield from _best_pairs(_numbers(table, "nid"), _unpack(table.column("packed"), kind), k)
         return _in_batches(rows())
 
     lists = placed.repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, LISTS)
     graph = stored(_merge(lists, k), "neighbours")
-    for round_ in range(rounds):
-        links = _links(graph, members)
-        held = links.join(packed.withColumnRenamed("nid", "member"), "member")
-        limits = graph.select(F.col("u").alias("member"), F.when(F.size("s") >= k, F.element_at("s", -1))
-                              .otherwise(F.lit(float("-inf"))).alias("least"))
-        held = held.join(limits, "member")
+    links = stored(_links(graph, members), "neighbour-links")
 
-        def join(batches):
-            def rows():
-                for table in _groups(batches, ["center"]):
-                    yield from _best_pairs(_numbers(table, "member"), _unpack(table.column("packed"), kind),
-                                           _numbers(table, "least"), emit)
-            return _in_batches(rows())
+    def join(batches):
+        def rows():
+            for table in _groups(batches, ["center"]):
+                yield from _best_pairs(_numbers(table, "member"), _unpack(table.column("packed"), kind), emit,
+                                       _numbers(table, "least"),
+                                       table.column("new").to_numpy(zero_copy_only=False).astype(bool))
+        return _in_batches(rows())
 
-        found = held.select("center", "member", "packed", "least").repartition("center") \
+    while (links.agg(F.avg(F.col("new").cast("int"))).first()[0] or 0.0) > settled:
+        limits = graph.select(F.col("u").alias("member"), F.when(F.size("s") >= k, F.element_at("s", -1))
+                              .otherwise(F.lit(float("-inf"))).alias("least"))
+        held = (links.where("active").join(packed.withColumnRenamed("nid", "member"), "member")
+                .join(limits, "member"))
+        found = held.select("center", "member", "packed", "least", "new").repartition("center") \
             .sortWithinPartitions("center").mapInArrow(join, LISTS)
         graph = stored(_merge(graph.unionByName(found), k), "neighbours")
-    return graph, stored(_links(graph, members), "neighbour-links")
+        links = stored(_links(graph, members, links), "neighbour-links")
+    return graph, links.select("center", "member")
 
 
-def _links(graph: DataFrame, members: int) -> DataFrame:
-    """The ``members`` nearest among neighbours and reverse neighbours of each node: center, member."""
+def _links(graph: DataFrame, members: int, before: DataFrame | None = None) -> DataFrame:
+    """The ``members`` nearest among neighbours and reverse neighbours of each node: center, member, new, active.
+
+    A link is new if it is not among those ``before``, and a center active if it has a new one.
+    """
     edges = graph.select(F.col("u").alias("center"), F.explode(F.arrays_zip("v", "s")).alias("x")) \
-        .select("center", F.col("x.v").alias("member"), F.col("x.s").alias("s"))
-    both = edges.unionByName(edges.select(F.col("member").alias("center"), F.col("center").alias("member"), "s"))
-    rank = F.row_number().over(Window.partitionBy("center").orderBy(F.desc("s"), "member"))
-    return both.distinct().withColumn("r", rank).where(F.col("r") <= members).select("center", "member")
+        .select("center", F.col("x.v").alias("member"), F.col("x.s").alias("s"), F.lit(True).alias("new"))
+    both = edges.unionByName(edges.select(F.col("member").alias("center"), F.col("center").alias("member"), "s", "new"))
+    if before is not None:
+        both = both.unionByName(before.select("center", "member", F.lit(None).cast("double").alias("s"),
+                                              F.lit(False).alias("new")))
+    both = both.groupBy("center", "member").agg(F.max("s").alias("s"), F.every("new").alias("new")).where("s is not null")
+    center = Window.partitionBy("center")
+    rank = F.row_number().over(center.orderBy(F.desc("s"), "member"))
+    return (both.withColumn("r", rank).where(F.col("r") <= members)
+            .withColumn("active", F.some("new").over(center)).select("center", "member", "new", "active"))
 
 
 def greedy_search(packed: DataFrame, links: DataFrame, graph: DataFrame, queries: DataFrame, beam: int,
-                  wide: int, rounds: int, kind: str) -> DataFrame:
+                  wide: int, kind: str) -> DataFrame:
     """Best nodes of each query node: u, v, s. ``queries`` has nid; a query is a node of the graph.
 
     A beam starts with the query's own neighbours. Each round opens the ``wide`` nearest nodes of the
     beam not opened yet, scores what they link to and keeps the ``beam`` nearest; it ends when every
-    node of every beam is open, or after ``rounds``.
+    node of every beam is open.
     """
     state = stored(graph.join(queries.select(F.col("nid").alias("u")), "u")
                    .select("u", "v", "s", F.array().cast("array<long>").alias("open")), "beams")
     vectors = packed.select(F.col("nid").alias("member"), F.col("packed").alias("candidate"))
-    for _ in range(rounds):
+    while True:
         fresh = F.filter("v", lambda x: ~F.array_contains("open", x))
         opened = state.select("u", F.slice(fresh, 1, wide).alias("now"))
         front = opened.select("u", F.explode("now").alias("center"))
@@ -236,23 +258,26 @@ def greedy_search(packed: DataFrame, links: DataFrame, graph: DataFrame, queries
     return state.select("u", "v", "s")
 
 
-def nearest_neighbours(vectors: DataFrame, is_query: Column, top: int = 20, k: int = 40, rounds: int = 3,
+def nearest_neighbours(vectors: DataFrame, is_query: Column, top: int = 20, k: int = 40, settled: float = 0.1,
                        members: int = 64, emit: int = 6, tables: int = 8, leaf: int = 256, beam: int = 120,
-                       wide: int = 48, search_rounds: int = 4, seed: int = 5, vec_id: str = "vec_id",
-                       vector: str = "embedding") -> DataFrame:
+                       wide: int = 48, seed: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The ``top`` nearest vectors of each row that ``is_query`` selects: query_id, rank, vec_id, score.
 
     Nearness is the inner product in double precision; ties go to the smaller vec_id; a row is never its
     own neighbour. NULL, empty, zero or non-finite vectors and rows without an id take no part; rows of
-    equal id and vector are one; all vectors have the same length; an empty table gives no rows; other
+    equal id and vector are one; vectors of unequal length are an error; an empty table gives no rows; other
     columns are ignored. All rows are indexed: equal vectors are one node of the graph, and their ids
     come back at the end, so copies cost nothing and none is lost. ``members``, ``emit``, ``beam`` and
-    ``wide`` bound the work per node and make the search approximate; recall is measured in the tests.
+    ``wide`` bound the work per node and make the search approximate, as does ``settled``, the share of new
+    links at which the graph is taken as done; recall is measured in the tests.
     """
     # The precision that holds the given components unrounded.
     kind = "<f4" if vectors.schema[vector].dataType.elementType == T.FloatType() else "<f8"
     nodes, same = distinct_vectors(vectors, vec_id, vector, top + 1)
     nodes, same = stored(nodes, "nodes"), stored(same, "node-ids")
+    lengths = nodes.agg(F.min(F.size("vector")), F.max(F.size("vector"))).first()
+    if lengths[0] != lengths[1]:
+        raise ValueError(f"vectors of unequal length: {lengths[0]} to {lengths[1]} components")
 
     def pack(batches):
         for batch in batches:
@@ -266,11 +291,10 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, top: int = 20, k: i
                                                                          lambda x: x + F.lit(0.0))).alias("nid"))
                    .where(F.col("query_id").isNotNull()).distinct()
                    .join(nodes.select("nid"), "nid", "left_semi"), "queries")
-    graph, links = neighbour_graph(packed, k, rounds, members, emit, tables, leaf, seed, kind)
+    graph, links = neighbour_graph(packed, k, settled, members, emit, tables, leaf, seed, kind)
     single = packed.select(F.col("nid").alias("u")).join(graph.select("u"), "u", "left_anti").select(
         "u", F.array().cast("array<long>").alias("v"), F.array().cast("array<double>").alias("s"))
-    found = greedy_search(packed, links, graph.unionByName(single), asked.select("nid").distinct(), beam, wide,
-                          search_rounds, kind)
+    found = greedy_search(packed, links, graph.unionByName(single), asked.select("nid").distinct(), beam, wide, kind)
     # The whole beam is scored again, in the order of the components: products in blocks differ in last bits.
     pairs = found.select("u", F.explode(F.concat(F.array("u"), "v")).alias("v"))
     exact = (pairs.join(nodes.select(F.col("nid").alias("u"), F.col("vector").alias("x")), "u")

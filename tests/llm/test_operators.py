@@ -20,7 +20,7 @@ from tapeworks.llm import weak_quality as quality_module
 from tapeworks.llm.line_dedup import line_dedup
 from tapeworks.llm.mixture import mixture
 from tapeworks.llm.ngram_join import choose_bands, ngram_join
-from tapeworks.llm.nn_descent import nearest_neighbours
+from tapeworks.llm.nn_descent import _best_pairs, nearest_neighbours
 from tapeworks.llm.packing import pack_documents
 from tapeworks.llm.quality_rules import quality_rules
 from tapeworks.llm.secret_scan import entropy_spans, secret_scan
@@ -320,6 +320,27 @@ def test_nearest_neighbours_of_near_copies(spark):
     assert hits >= 0.95 * 20 * 30
 
 
+def test_neighbours_of_unequal_length(spark):
+    df = spark.createDataFrame([(0, [1.0, 2.0]), (20, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="unequal length"):
+        nearest_neighbours(df, df["vec_id"] % 20 == 0)
+
+
+def test_only_pairs_with_a_new_member_are_compared():
+    rng = np.random.default_rng(4)
+    x, ids = rng.standard_normal((9, 5)), np.arange(100, 109)
+    new = np.arange(9) % 4 == 0
+    least = rng.standard_normal(9)
+    got = {}
+    for u, sizes, v, s in _best_pairs(ids, x, 3, least, new):
+        ends = np.cumsum(sizes)
+        got |= {a: sorted(zip(-s[e - n:e], v[e - n:e])) for a, n, e in zip(u, sizes, ends)}
+    for i in range(9):
+        want = sorted((-(x[i] @ x[j]), ids[j]) for j in range(9)
+                      if i != j and (new[i] or new[j]) and x[i] @ x[j] > least[i])[:3]
+        assert [v for _, v in got.get(ids[i], [])] == [v for _, v in want]
+
+
 def _groups(texts: dict) -> dict:
     """doc -> (class, copies, links, group) by all pairs."""
     sets = {}
