@@ -10,6 +10,28 @@ from pyspark.sql import functions as F
 from tapeworks.llm.common import stored, word_count
 
 
+def sums_before(rows: DataFrame, order: Sequence[Column], sums: dict[str, Column],
+                range_rows: int = 100_000) -> DataFrame:
+    """``rows`` with the sums of columns over all rows before each in ``order``, and ``place``, their number.
+
+    ``order`` is total. Rows are dealt by sampled bounds over ranges of about ``range_rows``; sums run within a range,
+    and one row per range is added up over all of them, so no task holds all rows.
+    """
+    sums = sums | {"place": F.lit(1).cast("long")}
+    ranges = rows.count() // range_rows + 1
+    dealt = stored(rows.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "ordered")
+    totals = dealt.groupBy("_range").agg(*[F.sum(c).alias(f"_{name}") for name, c in sums.items()])
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = stored(totals.select("_range", *[F.sum(f"_{name}").over(earlier).alias(f"_{name}") for name in sums]),
+                   "ordered-bases")
+    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    none = {name: F.lit(0).cast(totals.schema[f"_{name}"].dataType) for name in sums}
+    summed = dealt.withColumns({f"_at_{name}": F.sum(c).over(within) for name, c in sums.items()})
+    return summed.join(bases, "_range").withColumns(
+        {name: F.coalesce(f"_at_{name}", none[name]) + F.coalesce(f"_{name}", none[name]) for name in sums}) \
+        .select(*rows.columns, *sums)
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0,
                    share: float = 1.0) -> DataFrame:
     """Target of each source: ``sizes`` has one row per source (source, source_size).
@@ -19,21 +41,19 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), most:
     weight. So the sources with the least size per weight are full, and the others share the rest: in
     that order, a source is full if the level that would be left for it exceeds its own limit.
     """
-    # One row per source in these windows, however many documents a source has.
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
+    placed = sums_before(sizes.select("source", "source_size"), [F.col("source").asc_nulls_last()], {})
     values = F.array(*[F.lit(float(w)) for w in weights])
-    rows = (sizes.withColumn("weight", F.get(values, (place % len(weights)).cast("int")))
+    rows = (placed.withColumn("weight", F.get(values, (F.col("place") % len(weights)).cast("int"))).drop("place")
             .withColumn("cap", F.col("source_size") * float(most)))
+    rows = stored(rows, "source-weights")
+    goal = rows.agg(F.sum("source_size") * float(share)).scalar()
+    weight_left = rows.agg(F.sum("weight")).scalar() - F.col("weights_before")
     order = [(F.col("cap") / F.col("weight")).asc(), F.col("source").asc_nulls_last()]
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = rows.withColumn("goal", F.sum("source_size").over(whole) * float(share))
-    left = F.col("goal") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
-    weight_left = F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    rows = rows.withColumn("level", F.try_divide(left, weight_left))
-    rows = rows.withColumn("full", F.col("cap") <= F.col("level") * F.col("weight"))
+    rows = sums_before(rows, order, {"caps_before": F.col("cap"), "weights_before": F.col("weight")}).drop("place")
+    rows = rows.withColumn("level", F.try_divide(goal - F.col("caps_before"), weight_left))
+    rows = stored(rows.withColumn("full", F.col("cap") <= F.col("level") * F.col("weight")), "source-levels")
     # After the first source that is not full, the levels fall: its level holds for all of them.
-    level = F.max(F.when(~F.col("full"), F.col("level"))).over(whole)
+    level = rows.agg(F.max(F.when(~F.col("full"), F.col("level")))).scalar()
     return rows.select("source", "source_size", "weight",
                        F.when(F.col("full"), F.col("cap")).otherwise(F.least(
                            F.col("cap"), level * F.col("weight"))).alias("target"))
@@ -45,25 +65,34 @@ def sainte_lague(parties: DataFrame, group: Sequence[str], votes: str, seats: st
 
     Rounding votes against the average price of a seat, moved by half a seat per party up or down, gives
     for each party seats that it gets in any case and a few that it may get; only those are ranked.
-    ``most`` caps a party's seats. Ties go to the parties first in order.
+    ``most`` caps a party's seats. Ties go to the parties first in order. Without a ``group``, all parties
+    are ranked over ranges of quotients, else each group in one task.
     """
-    all_rows = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    v, total, n = F.col(votes), F.sum(votes).over(all_rows), F.count("*").over(all_rows)
+    if group:
+        whole = Window.partitionBy(*group)
+        over = lambda rows, c: c.over(whole)
+    else:
+        parties = stored(parties, "parties")
+        over = lambda rows, c: rows.agg(c).scalar()
+    v, total, n = F.col(votes), over(parties, F.sum(votes)), over(parties, F.count("*"))
     at = lambda count: F.floor(F.coalesce(F.try_divide(v * count, total), F.lit(0.0)) + 0.5)
     rows = (parties.withColumn("_low", F.least(F.greatest(at(F.col(seats) - n / 2 - 1) - 1, F.lit(0)), F.col(most)))
-            .withColumn("_high", F.least(at(F.col(seats) + n / 2 + 1) + 1, F.col(most)))
-            .withColumn("_open", F.col(seats) - F.sum("_low").over(all_rows)))
+            .withColumn("_high", F.least(at(F.col(seats) + n / 2 + 1) + 1, F.col(most))))
+    if not group:
+        rows = stored(rows, "parties-bounds")
+    rows = rows.withColumn("_open", F.col(seats) - over(rows, F.sum("_low")))
     keys = [*group, *party]
     ranked = (rows.where(F.col("_high") > F.col("_low"))
               .select(*keys, votes, "_open", F.explode(F.sequence("_low", F.col("_high") - 1)).alias("_k"))
               .withColumn("_q", v / (2 * F.col("_k") + 1)))
-    by = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    rank = F.row_number().over(by.orderBy(F.col("_q").desc(), *[F.col(p).asc_nulls_last() for p in party], "_k"))
-    won = (ranked.withColumn("_rank", rank).where(F.col("_rank") <= F.col("_open"))
-           .groupBy(*keys).agg(F.count("*").alias("_won")))
-    match = [rows[k].eqNullSafe(won[k]) for k in keys]
-    return (rows.join(won.withColumnsRenamed({k: f"_w_{k}" for k in keys}),
-                      [rows[k].eqNullSafe(F.col(f"_w_{k}")) for k in keys], "left") if match else rows) \
+    order = [F.col("_q").desc(), *[F.col(p).asc_nulls_last() for p in party], F.col("_k").asc()]
+    if group:
+        ranked = ranked.withColumn("place", F.row_number().over(whole.orderBy(*order)) - 1)
+    else:
+        ranked = sums_before(ranked, order, {})
+    won = ranked.where(F.col("place") < F.col("_open")).groupBy(*keys).agg(F.count("*").alias("_won"))
+    return rows.join(won.withColumnsRenamed({k: f"_w_{k}" for k in keys}),
+                     [rows[k].eqNullSafe(F.col(f"_w_{k}")) for k in keys], "left") \
         .withColumn(out, F.col("_low") + F.coalesce(F.col("_won"), F.lit(0))) \
         .drop("_low", "_high", "_open", "_won", *[f"_w_{k}" for k in keys])
 
@@ -78,7 +107,8 @@ def mixture(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: int = 3
     cut into blocks of ``block`` words. Sainte-Laguë apportionment gives each source a whole number of
     blocks against its target, and each of its shards a quota by its own blocks. A shard takes its
     blocks round by round in that order from a seeded block on, each at most ``most`` times, so a
-    document's part is a difference of positions and no block is a row.
+    document's part is a difference of positions and no block is a row. Sources are ranked in ranges, so there may be
+    as many as there are hosts.
 
     Rows keep their number. NULL and empty texts have size 0 and give nothing; NULL sources are one
     source; rows with equal id and text stand side by side; an empty table gives an empty result; other
@@ -101,9 +131,9 @@ def mixture(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: int = 3
     per_source = shard_rows.groupBy(F.col("source").alias("b_source")).agg(
         F.sum("blocks").alias("source_blocks"))
     targets = targets.join(per_source, targets["source"].eqNullSafe(per_source["b_source"])).drop("b_source")
-    whole = Window.partitionBy(F.lit(0))
+    targets = stored(targets, "mixture-targets")
     quotas = sainte_lague(
-        targets.withColumn("seats", F.round(F.sum("target").over(whole) / block).cast("long"))
+        targets.withColumn("seats", F.round(targets.agg(F.sum("target")).scalar() / block).cast("long"))
         .withColumn("limit", F.col("source_blocks") * most),
         [], "target", "seats", ["source"], "limit", "quota").select("source", "source_size", "target", "quota")
     quotas = stored(quotas, "mixture-quotas").withColumnRenamed("source", "q_source")

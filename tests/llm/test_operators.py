@@ -18,7 +18,7 @@ import corpus_pipeline
 from tapeworks.llm import bpe_ids, secret_scan as secret_module, token_counts as counts_module
 from tapeworks.llm import weak_quality as quality_module
 from tapeworks.llm.line_dedup import line_dedup
-from tapeworks.llm.mixture import mixture
+from tapeworks.llm.mixture import mixture, sainte_lague, sums_before
 from tapeworks.llm.ngram_join import choose_bands, ngram_join
 from tapeworks.llm.nn_descent import _best_pairs, nearest_neighbours
 from tapeworks.llm.packing import pack_documents
@@ -279,6 +279,41 @@ def test_mixture(docs, empty):
     assert sorted(map(repr, mixture(docs).collect())) == sorted(map(repr, rows))
 
 
+def _highest_quotients(votes: list[tuple], seats: int) -> collections.Counter:
+    """Seats one by one to the party with the highest quotient below its limit."""
+    won = collections.Counter()
+    for _ in range(seats):
+        left = [(-v / (2 * won[p] + 1), p) for p, v, most in votes if won[p] < most]
+        if left:
+            won[min(left)[1]] += 1
+    return won
+
+
+@pytest.mark.parametrize("group", [[], ["g"]])
+def test_seats_by_highest_quotients(spark, group):
+    rng = random.Random(8)
+    rows = [(g, p, float(rng.choice([0, 7, 7, 50, 300, 2000])), 10 ** 6, 97 + g) for g in range(3 if group else 1)
+            for p in range(40)]
+    df = spark.createDataFrame(rows, "g int, p int, votes double, most long, seats long")
+    got = sainte_lague(df, group, "votes", "seats", ["p"], "most", "won").collect()
+    assert len(got) == len(rows)
+    for g in range(3 if group else 1):
+        want = _highest_quotients([(p, v, most) for a, p, v, most, _ in rows if a == g], 97 + g)
+        assert {r.p: r.won for r in got if r.g == g} == {p: want[p] for p in range(40)}
+
+
+def test_sums_over_ranges(spark):
+    rng = random.Random(9)
+    rows = [(i, rng.randint(0, 9)) for i in range(500)] + [(None, 4)]
+    df = spark.createDataFrame(rows, "k int, x int").repartition(5)
+    before = place = 0
+    got = sums_before(df, [F.col("k").asc_nulls_last()], {"before": F.col("x")}, range_rows=60).collect()
+    for r in sorted(got, key=lambda r: (r.k is None, r.k)):
+        assert (r.before, r.place) == (before, place)
+        before, place = before + r.x, place + 1
+    assert place == 501
+
+
 @pytest.mark.parametrize("case", ["random", "copies", "few"])
 def test_nearest_neighbours(spark, case):
     rng = np.random.default_rng(2)
