@@ -493,9 +493,10 @@ def test_pipeline_repeated_and_missing_ids(spark):
 def test_registered_queries(spark):
     import __spark_entry__ as entry
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert len(names) == 10 and "pipeline" in entry.queries()
-    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+    assert len(names) == 13 and "pipeline" in entry.queries()
+    documents, pages = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").count() for t in ("documents", "pages"))
     for name in names:
+        rows = pages if name == "op12_warc" else documents
         got = entry.queries()[name](spark, "/root/testdata/sf0.001").count()
         assert got == rows or name in ("op2_packing", "op7_nearest_neighbours") and got > 0
     assert entry.queries()["pipeline"](spark, "/root/testdata/sf0.001").count() > 0
