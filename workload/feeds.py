@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tapeworks.operators import catalogue, feeds
 from tapeworks.plans.catalogue import extract
 from tapeworks.session import shared_dir
+from tapeworks.sources.messages import read_messages, save_messages
 from workload.registry import query
 from workload.views import table, view
 
@@ -23,9 +24,8 @@ PARTITIONS = 16
 
 def landed(df: DataFrame, name: str) -> DataFrame:
     """The ``value`` texts as users have them: in files, one per line, written before they are parsed."""
-    path = f"{shared_dir(df.sparkSession, name)}/{name}"
-    df.select("value").write.text(path)
-    return df.sparkSession.read.text(path)
+    path = save_messages(df, f"{shared_dir(df.sparkSession, name)}/{name}")
+    return read_messages(df.sparkSession, "files", stream=False, path=path)
 
 
 def epoch(time: str) -> Column:
