@@ -2,8 +2,8 @@
 
 A window over a whole symbol puts its history into one task. That is right for symbols of normal
 size. The histories of hot symbols (more than ``rows_per_task`` rows) are cut by position instead: sampled bounds
-over (symbol, time, ties) deal them to chunks of about half that many rows, wherever the times crowd. Each
-chunk borrows the few rows just before it (its halo), works, and gives back only its own rows.
+over (symbol, time, ties) deal them to ranges, which are cut into chunks of half that many rows, wherever the times
+crowd. A task works on many chunks. Each chunk borrows the few rows just before it (its halo), works, and gives back only its own rows.
 """
 
 from __future__ import annotations
@@ -31,9 +31,22 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK)
     return stored(counts, "hot-keys")
 
 
-def chunks(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """Rows with the number of their chunk of ``n``, in ``order``. Stored, since bounds are sampled anew each time."""
-    return stored(rows.repartitionByRange(n, *order).withColumn(CHUNK, F.spark_partition_id()), "chunks")
+def chunks(rows: DataFrame, order: list[Column], n: int, size: int | None = None) -> DataFrame:
+    """Rows with the number of their chunk: ``n`` ranges in ``order``, cut every ``size`` rows if given.
+
+    A range is a task and a file, a chunk is neither, so small chunks cost no tasks. Stored, since bounds are sampled
+    anew each time.
+    """
+    # The id counts the rows of a partition up from its number times 2^33.
+    place = F.monotonically_increasing_id()
+    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(CHUNK, place)
+    within = F.pmod(F.col(CHUNK), F.lit(2 ** 33))
+    return stored(dealt.withColumn(CHUNK, F.col(CHUNK) - within + (0 if size is None else F.floor(within / size))), "chunks")
+
+
+def ranges(rows: int, rows_per_task: int, tasks: int) -> int:
+    """Tasks that deal ``rows`` to chunks: no more than chunks, no fewer than keep a task at a normal size."""
+    return min(-(-2 * rows // rows_per_task), max(tasks, -(-2 * rows // ROWS_PER_TASK)))
 
 
 def windowed(df: DataFrame, keys: list[str], time: str, ties: tuple[str, ...], rows_before: int,
@@ -56,8 +69,9 @@ def windowed(df: DataFrame, keys: list[str], time: str, ties: tuple[str, ...], r
         return df.withColumns(plain)
     known = prefixed(hot.select(*keys), keys)
     cold = df.join(known, matching(keys), "left_anti").withColumns(plain)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     data = chunks(df.join(known, matching(keys), "left_semi"), [*map(F.col, keys), *order],
-                  -(-2 * rows // rows_per_task))
+                  ranges(rows, rows_per_task, tasks), max(1, rows_per_task // 2))
     added = compute(Window.partitionBy(*keys, CHUNK).orderBy(*forth))
     return cold.unionByName(
         data.withColumn(HALO, F.lit(False))

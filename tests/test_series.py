@@ -94,3 +94,23 @@ def test_chunks_with_null_times_and_symbols(history, limit):
                     lambda rows: series.daily_return(gaps, ties=("row_id",), rows_per_task=rows),
                     lambda rows: series.scd2(gaps, "symbol", "date", ties=("row_id",), rows_per_task=rows)):
         assert collected(compute(limit)) == collected(compute(10_000))
+
+
+def test_small_chunks_cost_no_tasks(history):
+    """Chunks are cut out of few ranges, in order, and are never larger than asked for."""
+    order = ["symbol", "date", "row_id"]
+    hot = history.where("symbol = 'HOT'")
+    data = series.chunks(hot, [F.col(c) for c in order], series.ranges(hot.count(), 10, 4), 5)
+    assert len(data.inputFiles()) <= 4
+    sizes = [r["count"] for r in data.groupBy(series.CHUNK).count().collect()]
+    assert max(sizes) <= 5 and len(sizes) >= hot.count() / 5
+    numbers = [r[series.CHUNK] for r in data.orderBy(*order).collect()]
+    assert numbers == sorted(numbers)
+    assert series.ranges(10**12, 1000, 200) == 2 * 10**12 // series.ROWS_PER_TASK and series.ranges(100, 50, 200) == 4
+
+
+@pytest.mark.parametrize("limit", [10, 40])
+def test_whole_window_over_cut_chunks(history, limit):
+    w = Window.partitionBy("symbol").orderBy("date", "row_id").rowsBetween(-29, 0)
+    got = series.rolling_avg(history, 30, ties=("row_id",), rows_per_task=limit)
+    assert collected(got) == collected(history.withColumn("rolling_avg_30", F.avg("close").over(w)))
