@@ -104,8 +104,10 @@ def fact_quotes(quotes: DataFrame, dim: DataFrame, as_of: dt.datetime | None = N
     skew join splits a hot symbol, which it cannot when the other side comes out of an aggregate. Where both
     are bucketed by symbol, neither is shuffled.
     """
-    stock = dim.select("symbol", "stock_id", "sector", "industry", "market_cap_category")
-    return (quote_measures(quotes).join(stock, "symbol", "left")
+    stock = dim.select("symbol", "stock_id", "sector", "industry", F.col("market_cap_category").alias("_stock_cap"))
+    # Keys and measures are computed after the join, which may shuffle the quotes: hashes do not compress.
+    joined = quotes.where("is_valid_quote").join(stock, "symbol", "left")
+    return (quote_measures(joined).withColumnRenamed("_stock_cap", "market_cap_category")
             .select(*FACT_COLUMNS, _now(as_of).alias("created_at")))
 
 

@@ -178,3 +178,17 @@ def test_hot_keys_are_dealt_over_tasks(spark, tmp_path, no_broadcast):
         for name, value in before.items():
             spark.conf.set(name, value)
     assert sum(sizes.values()) == 1_000_000 and len(sizes) > 3 and max(sizes.values()) < 300_000
+
+
+def test_fact_shuffles_no_hashes(spark):
+    """The join with the dimension comes before keys and measures, so a shuffle carries neither."""
+    quotes = spark.createDataFrame(
+        [], "symbol string, quote_timestamp timestamp, price double, previous_close double, open double, high double, "
+        "low double, change double, change_percent double, volume long, market_cap double, pe_ratio double, "
+        "dividend_yield double, price_trend string, volatility double, market_cap_category string, "
+        "is_valid_quote boolean, message_timestamp timestamp, job_id string, source string")
+    dim = spark.createDataFrame(
+        [], "symbol string, stock_id string, sector string, industry string, market_cap_category string")
+    plan = marts.fact_quotes(quotes, dim)._jdf.queryExecution().analyzed().toString()
+    above, below = plan.split("Join LeftOuter")
+    assert "md5" in above and "md5" not in below
