@@ -14,13 +14,14 @@ from tapeworks.sources.sinks import write_table
 def extract(responses: DataFrame, output: str | None = None, fmt: str = "json") -> dict[str, DataFrame]:
     """Products of all categories in one set, with headers, rejects and counts.
 
-    The responses are read and parsed once, into a stored table in partitions by kind; all results read that.
+    The responses are read and parsed once, into a stored table; all results read their kind of rows in that. It has
+    no partitions by kind: for those each task would sort all its rows, products with all their fields, in memory.
     With ``output`` each of them is written there in the given format.
     """
     spark = responses.sparkSession
     path = f"{output.rstrip('/')}/parsed" if output is not None else shared_dir(spark, "catalogue")
     rows = parse_categories(responses)
-    rows.write.mode("overwrite").partitionBy("kind").parquet(path)
+    rows.write.mode("overwrite").parquet(path)
     parsed = spark.read.schema(rows.schema).parquet(path)
     results = {
         "products": parsed.where(F.col("kind") == PRODUCT).select(

@@ -188,6 +188,18 @@ def test_catalogue_is_parsed_once(spark, tmp_path):
         assert "from_json" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_parsed_catalogue_is_stored_without_a_sort(spark, tmp_path):
+    """One task writes all kinds into one file, in the order in which they were parsed."""
+    results = extract(documents(spark, [{**c, "category_url": f"/{k}"} for k, c in enumerate(CATEGORIES * 3)]).coalesce(1),
+                      str(tmp_path / "out"))
+    stored = [f.relative_to(tmp_path / "out" / "parsed") for f in (tmp_path / "out" / "parsed").rglob("*.parquet")]
+    assert len(stored) == 1 and len(stored[0].parts) == 1
+    assert results["summary"].first().asDict() == {
+        "total_categories": 9, "total_products": 6, "processed_items": 6, "failed_items": 3}
+    assert {name: df.count() for name, df in results.items()} == {
+        "products": 6, "categories": 9, "rejects": 3, "summary": 1}
+
+
 def test_search_defaults_and_union(spark):
     docs = [{"products": [{"id": "1"}, {"id": "2", "rating": "bad"}]},
             {"total_results": 50, "page": 3, "page_size": 10, "search_time": 0.5, "products": []}]
