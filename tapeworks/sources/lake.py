@@ -163,17 +163,24 @@ def expiry_manifest(spark: SparkSession, path: str, as_of: dt.datetime, days: in
     return stored(old, "expiry-manifest")
 
 
-def archive_files(spark: SparkSession, path: str, archive: str, manifest: DataFrame) -> None:
+def archive_files(spark: SparkSession, path: str, archive: str, manifest: DataFrame,
+                  rows_per_task: int = 1_000_000) -> None:
     """Add the rows of the listed files to ``archive``, by date, each with its ``source_file``.
 
     Files that the archive knows are not copied again. Raises unless it then holds each file with all its rows.
+    A task sorts its rows by date to write them, so they are dealt to ranges of about ``rows_per_task`` rows, however
+    large the files are; a range holds files, or a part of one, and so few dates.
     """
     wanted = manifest
     if exists(spark, archive):
         wanted = manifest.join(spark.read.parquet(archive).select("source_file").distinct(), "source_file", "left_anti")
-    (spark.read.parquet(path).withColumn("source_file", F.col("_metadata.file_path"))
-     .join(wanted.select("source_file"), "source_file", "left_semi")
-     .write.mode("append").partitionBy("date").parquet(archive))
+    todo = wanted.agg(F.sum("rows").alias("rows"), F.max("date").alias("last")).first()
+    if todo.rows:
+        (spark.read.parquet(path).where(F.col("date") <= F.lit(todo["last"]))
+         .withColumns({"source_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+         .join(wanted.select("source_file"), "source_file", "left_semi")
+         .repartitionByRange(1 + todo.rows // rows_per_task, "source_file", "_row").drop("_row")
+         .write.mode("append").partitionBy("date").parquet(archive))
     if manifest.isEmpty():
         return
     spark.catalog.refreshByPath(archive)

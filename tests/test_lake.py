@@ -136,6 +136,30 @@ def test_late_files_are_neither_lost_nor_copied_twice(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(archive).collect()) == [0, 1, 2, 3, 6, 7, 8, 9, 100, 101]
 
 
+def test_archive_is_written_by_tasks_of_few_rows(spark, tmp_path):
+    """A large file is copied by several tasks; small ones share a task."""
+    path, archive, as_of = str(tmp_path / "t"), str(tmp_path / "a"), dt.datetime(2024, 1, 10)
+    rows = spark.range(5000).selectExpr(
+        "id", "date_add(date'2024-01-01', case when id < 4000 then 0 else cast(id % 8 as int) end) as date")
+    rows.coalesce(1).write.partitionBy("date").parquet(path)
+    manifest = lake.expiry_manifest(spark, path, as_of, 5)
+    lake.archive_files(spark, path, archive, manifest, rows_per_task=500)
+    held = spark.read.parquet(archive)
+    tasks = held.groupBy(F.regexp_extract("_metadata.file_name", "part-([0-9]+)", 1).alias("task")).count().collect()
+    assert 7 <= len(tasks) <= 10 and max(r["count"] for r in tasks) < 1500
+    assert sorted(r.id for r in held.collect()) == sorted(r.id for r in rows.where("date < '2024-01-05'").collect())
+    assert held.groupBy("source_file").count().count() == 4
+
+
+def test_archive_waits_for_the_first_expired_file(spark, tmp_path):
+    """A run without an expired file leaves no empty archive that the next run could not read."""
+    path, archive = str(tmp_path / "t"), str(tmp_path / "a")
+    spark.range(10).selectExpr("id", "date'2024-01-01' as date").write.partitionBy("date").parquet(path)
+    assert lake.expire(spark, path, dt.datetime(2024, 1, 3), 5, archive) == 0
+    assert lake.expire(spark, path, dt.datetime(2024, 1, 10), 5, archive) > 0
+    assert spark.read.parquet(archive).count() == 10
+
+
 def test_nothing_is_deleted_without_a_whole_archive(spark, tmp_path):
     path, archive, as_of = str(tmp_path / "t"), str(tmp_path / "a"), dt.datetime(2024, 1, 10)
     rows = spark.range(10).selectExpr("id", "date'2024-01-01' as date")
