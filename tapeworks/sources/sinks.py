@@ -15,8 +15,8 @@ SCHEMA_VERSION = "1.0"
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: Sequence[str] = (), compression: str | None = None) -> str:
-    """Write as json, csv or parquet, optionally in partitions.
+                partition_by: Sequence[str] = (), compression: str | None = None, per_file: int = 0) -> str:
+    """Write as json, csv or parquet, optionally in partitions and in files of at most ``per_file`` rows.
 
     Partitioned writes are rebalanced on their columns: a small partition gets one file, and a
     day or symbol with very many rows is split over several tasks and files.
@@ -34,6 +34,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         writer = writer.option("header", "true")
     if compression or fmt == "parquet":
         writer = writer.option("compression", compression or "snappy")
+    if per_file:
+        writer = writer.option("maxRecordsPerFile", per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
         if mode == "overwrite":

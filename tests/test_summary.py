@@ -48,6 +48,19 @@ def test_batch_job(quotes, tmp_path):
     assert [(r.symbol, r.hour) for r in trends] == [("GOOGL", 10)]
 
 
+def test_batch_job_compresses_its_json(spark, tmp_path):
+    """The JSON copy is smaller than half its text, in files of few rows, and holds the same rows."""
+    quotes = spark.range(2000).selectExpr(
+        "concat('S', id) as symbol", "id + 0.25D as price", "id * 1000 as volume", "id % 7 - 3.5D as change_percent",
+        "timestamp'2024-01-02 10:00:00' as timestamp")
+    stored = batch.run(quotes, str(tmp_path), per_file=300)["daily_aggregations"]
+    files = list((tmp_path / "daily_aggregations.json").glob("part-*"))
+    text = stored.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0]
+    assert len(files) >= 7 and sum(f.stat().st_size for f in files) < text / 2
+    back = spark.read.schema(stored.schema).json(str(tmp_path / "daily_aggregations.json"))
+    assert sorted(back.collect()) == sorted(stored.collect()) and back.count() == 2000
+
+
 def test_market_summary_leaves_out_missing_measures(spark, quotes):
     assert summary.market_summary(quotes.select("symbol")).columns == ["total_stocks"]
     empty = summary.market_summary(quotes.limit(0)).first()
