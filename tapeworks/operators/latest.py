@@ -8,7 +8,7 @@ compared as a whole.
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,16 +58,22 @@ def newest_rows(df: DataFrame, keys: list[str], time: str) -> DataFrame:
     return greatest_rows(at_last(df, keys, time, last, "last"), keys)
 
 
-def newest_values(df: DataFrame, keys: list[str], time: str, columns: list[str]) -> DataFrame:
+def newest_values(df: DataFrame, keys: list[str], time: str, columns: list[str], place: str | None = None) -> DataFrame:
     """Last known value of each of the fixed-width ``columns`` per key, column by column.
 
-    Of values at the same time the greatest counts.
+    Of values at the same time the one of the least ``place`` counts, without a place the greatest.
     """
     last = last_times(df, keys, {c: F.when(F.col(c).isNotNull(), F.col(time)) for c in columns})
     known = prefixed(last, [*keys, *columns])
-    joined = df.select(*keys, time, *columns).join(known, matching(keys))
-    return joined.groupBy(*keys).agg(*[
-        F.max(F.when(F.col(time) == F.col(f"_of_{c}"), F.col(c))).alias(c) for c in columns])
+    joined = df.select(*keys, time, *columns, *([place] if place else [])).join(known, matching(keys))
+    here = {c: F.col(time) == F.col(f"_of_{c}") for c in columns}
+    if place:
+        # Only rows that may be picked are sorted, and those of keys without any value.
+        joined = joined.where(reduce(or_, here.values()) | F.coalesce(*[f"_of_{c}" for c in columns]).isNull())
+        picks = [F.min_by(c, F.when(here[c] & F.col(c).isNotNull(), F.col(place))).alias(c) for c in columns]
+    else:
+        picks = [F.max(F.when(here[c], F.col(c))).alias(c) for c in columns]
+    return joined.groupBy(*keys).agg(*picks)
 
 
 def dedupe(df: DataFrame, keys: tuple[str, ...] = ("symbol", "quote_timestamp"),

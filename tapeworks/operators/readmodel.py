@@ -37,9 +37,9 @@ def series(df: DataFrame, value: str = "price") -> DataFrame:
     return df.select("symbol", "date", value).orderBy("symbol", "date")
 
 
-def latest_prices(df: DataFrame, time: str = "date") -> DataFrame:
-    """Last known value of each column per symbol, column by column."""
-    return newest_values(df, ["symbol"], time, LATEST_COLUMNS)
+def latest_prices(df: DataFrame, time: str = "date", place: str | None = None) -> DataFrame:
+    """Last known value of each column per symbol, column by column; ties as in ``newest_values``."""
+    return newest_values(df, ["symbol"], time, LATEST_COLUMNS, place)
 
 
 def with_signed_change(df: DataFrame) -> DataFrame:

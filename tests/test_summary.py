@@ -6,6 +6,7 @@ import datetime as dt
 import random
 import statistics
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +14,9 @@ from tapeworks.operators import latest, readmodel, summary
 from tapeworks.operators.median import exact_median
 from tapeworks.plans import batch, dashboard
 from tapeworks.sources.lake import rows
+from workload import summaries  # noqa: F401
+from workload.check import compare
+from workload.registry import ORACLE, QUERIES
 
 QUOTES = [
     ("AAPL", 150.25, 50_000_000, 1.5, "2024-01-01 10:00:00"),
@@ -154,3 +158,31 @@ def test_dashboard_page(page):
 def test_select_view_without_choice_keeps_all(quotes):
     assert readmodel.select_view(quotes).count() == 6
     assert readmodel.select_view(quotes, ["MSFT"]).count() == 2
+
+
+def test_latest_prices_by_place_take_the_first_row_of_a_tie(spark):
+    """A missing value of the first row leaves it to the next; a symbol without any value stays."""
+    day = dt.datetime(2024, 1, 2, 10)
+    data = [("A", 1, 5.0, None, day), ("A", 2, 9.0, 3, day), ("A", 0, 99.0, 8, day - dt.timedelta(hours=1)),
+            ("B", 4, None, 7, day), ("B", 3, None, 6, day), ("C", 5, None, None, day)]
+    df = spark.createDataFrame(data, "symbol string, place int, price double, volume long, at timestamp")
+    got = latest.newest_values(df, ["symbol"], "at", ["price", "volume"], "place").orderBy("symbol").collect()
+    assert [tuple(r) for r in got] == [("A", 5.0, 3), ("B", None, 6), ("C", None, None)]
+    got = latest.newest_values(df, ["symbol"], "at", ["price", "volume"]).orderBy("symbol").collect()
+    assert [tuple(r) for r in got] == [("A", 9.0, 3), ("B", None, 7), ("C", None, None)]
+
+
+def test_latest_prices_equal_their_sql_on_ties(spark, tmp_path):
+    """The first of two line items at the newest time is the lesser one for odd parts."""
+    items = [(24 * n, part, 1, quantity, 100.0 * quantity, 0.01 * quantity, 0.02, "A", "O", dt.datetime(1996, 1, 2))
+             for part in range(20) for n, quantity in enumerate([3.0, 5.0] if part % 2 else [5.0, 3.0])]
+    spark.createDataFrame(items, """l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double,
+        l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""") \
+        .coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(20).selectExpr("id as p_partkey", "'rod' as p_name", "1.0D as p_retailprice") \
+        .coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    con = duckdb.connect()
+    for name in ("lineitem", "part"):
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    for name in ("latest_prices", "top_movers"):
+        assert compare(QUERIES[name](spark, str(tmp_path)), con, ORACLE[name]) == []

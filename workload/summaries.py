@@ -146,6 +146,12 @@ def screener_lists(spark, sf_dir):
         staging.stg_quotes(quotes(spark, sf_dir)).where("is_valid_quote"), k=5)
 
 
+def latest_by_place(spark, sf_dir):
+    """Latest values; at the same time the row that comes first in the table counts, as for ``arg_max``."""
+    columns = ["symbol", "price", "change_percent", "volume", "market_cap", "quote_timestamp"]
+    return readmodel.latest_prices(view(spark, sf_dir, "quotes", columns, "place"), "quote_timestamp", "place")
+
+
 @query("""
 select symbol, arg_max(price, quote_timestamp) filter (where price is not null) as price,
   arg_max(change_percent, quote_timestamp) filter (where change_percent is not null)
@@ -156,9 +162,7 @@ select symbol, arg_max(price, quote_timestamp) filter (where price is not null)
     filter (where change_percent is not null)) as change_text
 from quotes group by symbol""")
 def latest_prices(spark, sf_dir):
-    df = quotes(spark, sf_dir, "symbol", "price", "change_percent", "volume", "market_cap",
-                "quote_timestamp")
-    return readmodel.with_signed_change(readmodel.latest_prices(df, "quote_timestamp"))
+    return readmodel.with_signed_change(latest_by_place(spark, sf_dir))
 
 
 @query("""
@@ -168,9 +172,7 @@ select symbol, arg_max(price, quote_timestamp) filter (where price is not null)
   arg_max(market_cap, quote_timestamp) as market_cap
 from quotes group by symbol order by 3 desc nulls last, 1 limit 5""")
 def top_movers(spark, sf_dir):
-    df = quotes(spark, sf_dir, "symbol", "price", "change_percent", "volume", "market_cap",
-                "quote_timestamp")
-    return readmodel.top_movers(readmodel.latest_prices(df, "quote_timestamp"))
+    return readmodel.top_movers(latest_by_place(spark, sf_dir))
 
 
 @query("""

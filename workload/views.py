@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 NULL_DOUBLE = "cast(null as double)"
 NULL_TEXT = "cast(null as string)"
@@ -174,19 +175,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None, place: str | None = None) -> DataFrame:
     """The view, or some of its columns; a join that feeds none of them is left out.
 
-    That changes no rows: each line item has exactly one part.
+    That changes no rows: each line item has exactly one part. ``place`` names a further column with the file and
+    number of the row in the base table, which tell what comes first there.
     """
     expressions, base, join = VIEWS[name]
     df = table(spark, sf_dir, base)
+    if place:
+        df = df.withColumn(place, F.struct("_metadata.file_path", "_metadata.row_index"))
     columns = columns or list(expressions)
     if join and any(re.search(r"\bp_", expressions[c]) for c in columns):
         other = table(spark, sf_dir, join[0])
         left, right = join[1].split(" = ")
         df = df.join(other, df[left] == other[right])
-    return df.selectExpr(*[f"{_dialect(expressions[c], True)} as `{c}`" for c in columns])
+    return df.selectExpr(*[f"{_dialect(expressions[c], True)} as `{c}`" for c in columns], *([place] if place else []))
 
 
 def view_sql(name: str) -> str:
