@@ -256,3 +256,31 @@ def not_null_report(name: str, df: DataFrame) -> DataFrame:
     columns = NOT_NULL[name]
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
     return counts.unpivot([], columns, "column_name", "failing_rows")
+
+
+def tested_columns(name: str) -> list[str]:
+    """Columns of a table that tests are declared on."""
+    declared = (NOT_NULL, UNIQUE, ACCEPTED, RELATIONSHIPS)
+    return list(dict.fromkeys(c for tests in declared for c in tests.get(name, ())))
+
+
+def failing_counts(name: str, df: DataFrame, parents: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Number of failing rows of every test declared on a table; of failing values for a unique test.
+
+    Tests that ask each row alone share a scan. Foreign keys are counted before they meet the parent table, so one row
+    per key is joined, and a hot key is one row.
+    """
+    alone = {f"not_null_{name}_{c}": F.col(c).isNull() for c in NOT_NULL.get(name, [])}
+    alone |= {f"accepted_values_{name}_{c}": ~F.col(c).isin(v) for c, v in ACCEPTED.get(name, {}).items()}
+    parts = [df.agg(*[F.count_if(c).alias(test) for test, c in alone.items()])
+             .unpivot([], list(alone), "test", "failing_rows")] if alone else []
+    for column in UNIQUE.get(name, []):
+        parts.append(failing_unique(df, column).agg(F.count("*").alias("failing_rows"))
+                     .select(F.lit(f"unique_{name}_{column}").alias("test"), "failing_rows"))
+    for column, parent in RELATIONSHIPS.get(name, {}).items():
+        if parents and parent in parents:
+            keys = df.groupBy(column).agg(F.count("*").alias("n_records"))
+            parts.append(failing_relationship(keys, column, parents[parent])
+                         .agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failing_rows"))
+                         .select(F.lit(f"relationships_{name}_{column}").alias("test"), "failing_rows"))
+    return reduce(DataFrame.unionByName, parts)

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from tapeworks import schemas
-from tapeworks.operators import clean, enrich, ops, quality
+from tapeworks import schemas, session
+from tapeworks.operators import clean, enrich, latest, ops, quality
 from tapeworks.plans.transform import transform
 from tapeworks.sources import lake
 from tapeworks.sources.sinks import save_failures
+from workload import checks
+from workload.views import view
 
+SF_DIR = "/root/testdata/sf0.001"
 NOW = dt.datetime(2024, 6, 1)
 STOCK = "symbol string, name string, sector string, market_cap string, currency string"
 
@@ -213,3 +217,49 @@ def test_transform_pipeline(spark, tmp_path):
     assert result.aggregations["sector_aggregation"].first().price_median == 225.38
     assert {r.status for r in result.checks.collect()} == {"valid"}
     assert transform(df, "market_tickers", NOW).aggregations == {}
+
+
+def test_failing_counts_are_those_of_the_failing_rows(spark):
+    """Parents that repeat, keys that are missing and rows without a value count as in the single tests."""
+    dim = spark.createDataFrame([("a", "A", True), ("b", "B", None), ("b", None, False)],
+                                "stock_id string, symbol string, is_active boolean")
+    fact = spark.createDataFrame(
+        [("1", "a", NOW, 1.0), ("1", "x", None, None), ("2", "x", NOW, 2.0), (None, "y", NOW, None), (None, None, NOW, 3.0)],
+        "quote_id string, stock_id string, quote_timestamp timestamp, price double")
+    screeners = spark.createDataFrame([("A", "day_gainers"), ("B", "other"), (None, None)], "symbol string, screener_type string")
+    for name, df in {"dim_stocks": dim, "fact_stock_quotes": fact, "market_screeners": screeners}.items():
+        got = {r.test: r.failing_rows for r in quality.failing_counts(name, df, {"dim_stocks": dim}).collect()}
+        assert got == {test: rows.count() for test, rows in quality.table_tests(name, df, {"dim_stocks": dim}).items()}
+    assert quality.failing_counts("fact_stock_quotes", fact, {"dim_stocks": dim}).where(
+        "test = 'relationships_fact_stock_quotes_stock_id'").first().failing_rows == 3
+
+
+@pytest.fixture
+def stored_plans(monkeypatch):
+    """Optimized plans of the tables that are stored."""
+    plans, store = [], session.stored
+
+    def noted(df, purpose):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return store(df, purpose)
+
+    monkeypatch.setattr(session, "stored", noted)
+    monkeypatch.setattr(latest, "stored", noted)
+    return plans
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_declared_tests_join_the_quotes_once(spark, stored_plans):
+    """Quotes are joined to their parts for one stored table, which all models read."""
+    assert checks.declared_tests(spark, SF_DIR).count() == 33
+    assert sum("p_partkey" in plan for plan in stored_plans) == 1
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_tested_columns_hang_on_stored_ones_only(spark):
+    """Whole tables give the same rows as those of which only some columns are kept."""
+    views = [view(spark, SF_DIR, name) for name in ("quotes", "screeners", "news", "history")]
+    whole = checks.tested_tables(*views, keep=lambda df, name: df)
+    for name, df in checks.tested_tables(*views).items():
+        assert df.columns == whole[name].columns and set(df.columns) == set(quality.tested_columns(name))
+        assert df.exceptAll(whole[name]).isEmpty() and whole[name].exceptAll(df).isEmpty(), name

@@ -263,28 +263,45 @@ def declared_sql():
                 yield f"select '{kind}_{name}_{column}' as test, count(*) as failing_rows from {failing} t"
 
 
+# Columns on which the keys, times, prices and flags hang that tests are declared on, or that models are joined by.
+TESTED_COLUMNS = {"quotes": ["symbol", "price", "volume", "quote_timestamp"], "dim_stocks": ["stock_id", "symbol", "is_active"]}
+
+
+def kept(df, name):
+    """Store the tested columns of a table, and only them. The others are NULL: nothing is read that hangs on them."""
+    columns = TESTED_COLUMNS[name]
+    rows = session.stored(df.select(*columns), name.replace("_", "-"))
+    return rows.select(*[(F.col(f.name) if f.name in columns else F.lit(None).cast(f.dataType)).alias(f.name)
+                         for f in df.schema])
+
+
+def tested_tables(quotes, screeners, news, history, keep=kept):
+    """Raw tables and models with the columns that tests are declared on.
+
+    The dimension has one row per symbol, so facts hash it in partitions instead of sorting all quotes.
+    """
+    quotes = keep(quotes, "quotes")
+    staged, stories = staging.stg_quotes(quotes), staging.stg_news(news)
+    dim = keep(marts.dim_stocks(staged, staging.stg_screeners(screeners), stories, AS_OF), "dim_stocks")
+    days = marts.quote_measures(staged)
+    raw = {"stock_quotes": quotes.withColumnRenamed("quote_timestamp", "timestamp"), "market_screeners": screeners,
+           "stock_news": news, "stock_history": history}
+    models = {
+        "dim_stocks": dim, "fact_stock_quotes": marts.fact_quotes(staged, dim.hint("shuffle_hash")),
+        "fact_market_performance": marts.market_performance(days),
+        "fact_news_sentiment": marts.news_sentiment_fact(stories, dim), "mart_daily_summary": marts.daily_summary(days, stories),
+    }
+    return {name: df.select(*quality.tested_columns(name)) for name, df in (raw | models).items()}
+
+
 @query("\nunion all ".join(declared_sql()))
 def declared_tests(spark, sf_dir):
-    """All tests that are declared on raw tables and models. Marts are stored first; not-null tests share a scan."""
-    dim = session.stored(dimension(spark, sf_dir), "dim-stocks")
-    quotes = view(spark, sf_dir, "quotes").withColumnRenamed("quote_timestamp", "timestamp")
-    facts = marts.fact_quotes(staging.stg_quotes(quotes), dim)
-    days = marts.quote_measures(staging.stg_quotes(quotes))
-    news = staging.stg_news(view(spark, sf_dir, "news"))
-    tables = {
-        "stock_quotes": quotes, "market_screeners": view(spark, sf_dir, "screeners"),
-        "stock_news": view(spark, sf_dir, "news"), "stock_history": view(spark, sf_dir, "history"), "dim_stocks": dim,
-        "fact_stock_quotes": facts, "fact_market_performance": marts.market_performance(days),
-        "fact_news_sentiment": marts.news_sentiment_fact(news, dim), "mart_daily_summary": marts.daily_summary(days, news),
-    }
-    parts = []
-    for name, df in tables.items():
-        own = [*quality.NOT_NULL[name], *quality.UNIQUE.get(name, []), *quality.ACCEPTED.get(name, {}),
-               *quality.RELATIONSHIPS.get(name, {})]
-        rows = session.stored(df.select(*dict.fromkeys(own)), name.replace("_", "-"))
-        parts.append(quality.not_null_report(name, rows).select(
-            F.concat(F.lit(f"not_null_{name}_"), "column_name").alias("test"), "failing_rows"))
-        for test, failing in quality.table_tests(name, rows, {"dim_stocks": dim}).items():
-            if not test.startswith("not_null"):
-                parts.append(failing.agg(F.count("*").alias("failing_rows")).select(F.lit(test).alias("test"), "failing_rows"))
-    return session.stored(reduce(DataFrame.unionByName, parts), "declared-tests")
+    """All tests that are declared on raw tables and models. Models are stored first, raw tables are read as they are.
+
+    The quotes are joined to their parts once; the dimension, facts and marts read the stored columns.
+    """
+    tables = tested_tables(*[view(spark, sf_dir, name) for name in ("quotes", "screeners", "news", "history")])
+    for name in ("fact_stock_quotes", "fact_market_performance", "fact_news_sentiment", "mart_daily_summary"):
+        tables[name] = session.stored(tables[name], name.replace("_", "-"))
+    counts = [quality.failing_counts(name, df, tables) for name, df in tables.items()]
+    return session.stored(reduce(DataFrame.unionByName, counts), "declared-tests")
