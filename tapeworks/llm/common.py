@@ -28,6 +28,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def id_crc(doc_id: Column) -> Column:
+    """Unsigned CRC of the decimal id. A NULL id has no digits, whose CRC is 0, as in the SQL."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+
+
 def field(df: DataFrame, name: str, as_name: str | None = None) -> T.StructField:
     return T.StructField(as_name or name, df.schema[name].dataType)
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeworks.llm.common import slices
+from tapeworks.llm.common import id_crc, slices
 
 SHORT = 4  # the greatest period that is scanned directly
 BATCH_BYTES = 1 << 21  # texts are put together up to this size; a longer one stands alone
@@ -208,9 +208,9 @@ def planted(docs: DataFrame) -> DataFrame:
     """Texts with a period planted in a tenth of the documents: doc_id, text.
 
     With h the CRC of the decimal id and g = h // 10, documents with h % 10 = 0 and n > 0 words repeat the
-    p = 1 + (n - a) // (3 + g % 8) words from a = g % n on to their end. NULL ids get none.
+    p = 1 + (n - a) // (3 + g % 8) words from a = g % n on to their end. For NULL ids h is 0.
     """
-    h = F.crc32(docs["doc_id"].cast("string").cast("binary"))
+    h = id_crc(docs["doc_id"])
     words = F.regexp_extract_all(docs["text"], F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
 
     def repeated(w):

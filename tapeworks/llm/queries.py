@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapeworks.llm.common import id_crc
 from tapeworks.llm.line_dedup import line_dedup
 from tapeworks.llm.merkle import merkle_manifest
 from tapeworks.llm.mixture import mixture
@@ -77,7 +78,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
-    chosen = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 7 == 0
+    chosen = id_crc(docs["doc_id"]) % 7 == 0
     # A decimal, since the greatest long has no successor.
     tampered = F.when(chosen, docs["n_chars"].cast("decimal(20, 0)") + 1).otherwise(docs["n_chars"])
     proofs = merkle_manifest(docs, {"n_chars": tampered})
